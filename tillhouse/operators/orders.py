@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions.values import iso_day, utc_suffix
 from tillhouse.schemas import ORDER_DATES, ORDER_TIMESTAMPS
-from tillhouse.sources.envelope import UNFIT
 
 # --- Fixed value: fields an order cannot do without --------------------------
 REQUIRED = ["guid", "restaurantGuid", "businessDate"]
@@ -27,7 +26,7 @@ def normalise_orders(docs: DataFrame) -> DataFrame:
         replaced[name] = utc_suffix(doc[name])
     for name in ORDER_DATES:
         replaced[name] = iso_day(doc[name])
-    others = ["guid", "voided", "deleted", "server", "checks", UNFIT]
+    others = [name for name in docs.schema["doc"].dataType.names if name not in replaced]
     carried = [c for c in docs.columns if c != "doc"]
     return docs.select(
         *carried,

@@ -22,7 +22,7 @@ from tillhouse.operators.insert import load_metrics, not_in_target, one_per_key
 from tillhouse.operators.menus import menu_items
 from tillhouse.operators.orders import with_lineage
 from tillhouse.operators.scope import in_instants, in_restaurants, restaurants_of
-from tillhouse.operators.summaries import count_by, reject_summary
+from tillhouse.operators.summaries import every_row, reject_summary, rejected_row, tally
 from tillhouse.operators.windows import backfill_plan, with_window
 from tillhouse.plans import jobs, marts, testdata
 from tillhouse.schemas import (
@@ -49,13 +49,14 @@ ORDERS_LOADED_BEFORE, ORDERS_BATCH_FROM = "1999-01-01", "1998-01-01"
 EVENTS_LOADED_BEFORE, EVENTS_BATCH_FROM = "2024-01-20", "2024-01-10"
 
 
-def query(build: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(use_utc(spark), sf_dir)
+def query(name: str) -> Callable[[Query], Query]:
+    """Registers a query under a name; it runs with UTC as the session's zone."""
 
-    run.__doc__ = build.__doc__
-    QUERIES[build.__name__] = run
-    return run
+    def register(build: Query) -> Query:
+        QUERIES[name] = lambda spark, sf_dir: build(use_utc(spark), sf_dir)
+        return build
+
+    return register
 
 
 def _plain(rows: DataFrame) -> DataFrame:
@@ -77,13 +78,20 @@ def _between(rows: DataFrame, column: str, first: str | None = None, before: str
     return rows
 
 
+def _line_pages(spark, sf_dir, first=None, before=None) -> DataFrame:
+    return testdata.line_orders(_between(testdata.table(spark, sf_dir, "lineitem"), "l_shipdate", first, before))
+
+
 def _parsed_lines(spark, sf_dir, first=None, before=None) -> jobs.Parsed:
-    lines = _between(testdata.table(spark, sf_dir, "lineitem"), "l_shipdate", first, before)
-    return jobs.parse(jobs.ORDERS, testdata.line_orders(lines))
+    return jobs.parse(jobs.ORDERS, _line_pages(spark, sf_dir, first, before))
+
 
+def _parsed_headers(spark, sf_dir) -> DataFrame:
+    return jobs.parse_headers(jobs.ORDERS, testdata.header_orders(testdata.table(spark, sf_dir, "orders")))
 
-def _parsed_headers(spark, sf_dir) -> jobs.Parsed:
-    return jobs.parse(jobs.ORDERS, testdata.header_orders(testdata.table(spark, sf_dir, "orders")))
+
+def _valid_headers(spark, sf_dir) -> DataFrame:
+    return _parsed_headers(spark, sf_dir).where(F.col(REASON).isNull())
 
 
 def _order_items(spark, sf_dir, first=None, before=None) -> DataFrame:
@@ -104,16 +112,16 @@ def _event_fact(spark, sf_dir, fact: jobs.Fact, pages, first=None, before=None)
 # --- documents ----------------------------------------------------------------
 
 
-@query
+@query("orders_scan")
 def orders_scan(spark, sf_dir):
     """Orders with normalised dates and lineage tags."""
-    orders = with_lineage(_parsed_headers(spark, sf_dir).valid)
+    orders = with_lineage(_valid_headers(spark, sf_dir))
     return orders.select(
         "guid", "restaurantGuid", "businessDate", "voidBusinessDate", *ORDER_TIMESTAMPS, "_restaurant_guid", "_data_source"
     )
 
 
-@query
+@query("timestamp_normalize")
 def timestamp_normalize(spark, sf_dir):
     """Offset text and the instant it stands for."""
     offset = F.element_at(
@@ -125,7 +133,7 @@ def timestamp_normalize(spark, sf_dir):
     )
 
 
-@query
+@query("business_date_normalize")
 def business_date_normalize(spark, sf_dir):
     """Compact and dashed days, and days that do not exist."""
     key = F.col("o_orderkey")
@@ -140,7 +148,7 @@ def business_date_normalize(spark, sf_dir):
     )
 
 
-@query
+@query("envelope_unwrap")
 def envelope_unwrap(spark, sf_dir):
     """Documents per list page and object page, back as one flat set."""
     pages = testdata.header_orders(testdata.table(spark, sf_dir, "orders"))
@@ -148,16 +156,16 @@ def envelope_unwrap(spark, sf_dir):
     return docs.select("restaurant_guid", "query_date", "doc.guid", "doc.businessDate")
 
 
-@query
+@query("order_validation")
 def order_validation(spark, sf_dir):
     """Every order with what it misses, if anything."""
-    return _parsed_headers(spark, sf_dir).docs.select("restaurant_guid", "query_date", "guid", "restaurantGuid", REASON)
+    return _parsed_headers(spark, sf_dir).select("restaurant_guid", "query_date", "guid", "restaurantGuid", REASON)
 
 
 # --- order items --------------------------------------------------------------
 
 
-@query
+@query("order_items_flatten")
 def order_items_flatten(spark, sf_dir):
     return _plain(_order_items(spark, sf_dir))
 
@@ -167,7 +175,7 @@ def _checks(spark, sf_dir) -> DataFrame:
     return orders.select("guid", F.explode("checks").alias("check"))
 
 
-@query
+@query("check_tip_sum")
 def check_tip_sum(spark, sf_dir):
     return _checks(spark, sf_dir).select(
         F.col("guid").alias("order_guid"),
@@ -176,7 +184,7 @@ def check_tip_sum(spark, sf_dir):
     )
 
 
-@query
+@query("check_first_payment_type")
 def check_first_payment_type(spark, sf_dir):
     return _checks(spark, sf_dir).select(
         F.col("guid").alias("order_guid"),
@@ -185,7 +193,7 @@ def check_first_payment_type(spark, sf_dir):
     )
 
 
-@query
+@query("schema_enforce")
 def schema_enforce(spark, sf_dir):
     """Raw text cast to the order item table, with reasons where it does not fit."""
     c = F.col
@@ -206,47 +214,43 @@ def schema_enforce(spark, sf_dir):
     )
 
 
-@query
+@query("reject_summary")
 def rejects_by_reason(spark, sf_dir):
-    return _reject_summary(spark, sf_dir)
-
-
-def _reject_summary(spark, sf_dir):
-    parsed = _parsed_lines(spark, sf_dir)
-    rows = rejected(flatten.order_items(parsed.valid))
-    return reject_summary(parsed.invalid.select(REASON).unionByName(rows.select(REASON)))
+    """Rejected documents and rows by reason."""
+    pages = _line_pages(spark, sf_dir)
+    documents_rejected = rejected(jobs.parse_headers(jobs.ORDERS, pages))
+    rows_rejected = rejected(flatten.order_items(jobs.parse(jobs.ORDERS, pages).valid))
+    return reject_summary(documents_rejected.select(REASON).unionByName(rows_rejected.select(REASON)))
 
 
-QUERIES["reject_summary"] = QUERIES.pop("rejects_by_reason")
-
-
-@query
+@query("run_summary")
 def run_summary(spark, sf_dir):
     """Documents and rows per restaurant."""
-    parsed = _parsed_lines(spark, sf_dir)
-    rows = flatten.order_items(parsed.valid)
-    return count_by(
+    pages = _line_pages(spark, sf_dir)
+    return tally(
         ["restaurant_guid"],
-        orders_fetched=parsed.docs.select("restaurant_guid"),
-        items_flattened=rows.select("restaurant_guid"),
-        items_rejected=rejected(rows).select("restaurant_guid"),
+        (jobs.parse_headers(jobs.ORDERS, pages), {"orders_fetched": every_row()}),
+        (
+            flatten.order_items(jobs.parse(jobs.ORDERS, pages).valid),
+            {"items_flattened": every_row(), "items_rejected": rejected_row()},
+        ),
     )
 
 
 # --- cash, labor, dimensions ----------------------------------------------------
 
 
-@query
+@query("cash_entries_flatten")
 def cash_entries_flatten(spark, sf_dir):
     return _plain(_event_fact(spark, sf_dir, jobs.CASH_ENTRIES, testdata.cash_entry_pages))
 
 
-@query
+@query("cash_deposits_flatten")
 def cash_deposits_flatten(spark, sf_dir):
     return _plain(_event_fact(spark, sf_dir, jobs.CASH_DEPOSITS, testdata.cash_deposit_pages))
 
 
-@query
+@query("labor_flatten")
 def labor_flatten(spark, sf_dir):
     return _plain(_event_fact(spark, sf_dir, jobs.TIME_ENTRIES, testdata.time_entry_pages))
 
@@ -256,24 +260,24 @@ def _restaurants(spark, sf_dir) -> DataFrame:
     return accepted(flatten.restaurants(documents(info)), DIM_RESTAURANTS)
 
 
-@query
+@query("dim_restaurants")
 def dim_restaurants(spark, sf_dir):
     return _plain(_restaurants(spark, sf_dir))
 
 
-@query
+@query("dim_employees")
 def dim_employees(spark, sf_dir):
     pages = testdata.employee_pages(testdata.table(spark, sf_dir, "customer"))
     return _plain(accepted(flatten.employees(documents(parse_pages(pages, EMPLOYEE_DOC))), DIM_EMPLOYEES))
 
 
-@query
+@query("dim_jobs")
 def dim_jobs(spark, sf_dir):
     pages = testdata.job_pages(testdata.table(spark, sf_dir, "customer"))
     return _plain(accepted(flatten.jobs(documents(parse_pages(pages, JOB_DOC))), DIM_JOBS))
 
 
-@query
+@query("menu_flatten")
 def menu_flatten(spark, sf_dir):
     pages = testdata.menu_trees(testdata.table(spark, sf_dir, "part"))
     return _plain(accepted(menu_items(menu_pages(pages)), DIM_MENU_ITEMS))
@@ -298,13 +302,13 @@ def _insert_events(spark, sf_dir, fact: jobs.Fact, pages) -> DataFrame:
     return _plain(not_in_target(batch, target, list(fact.table.key)))
 
 
-@query
+@query("insert_new_order_items")
 def insert_new_order_items(spark, sf_dir):
     batch, target = _batch_and_target(spark, sf_dir)
     return _plain(not_in_target(batch, target, list(FACT_ORDER_ITEMS.key)))
 
 
-@query
+@query("insert_one_per_key")
 def insert_one_per_key(spark, sf_dir):
     """The optional form that also drops duplicates inside the batch."""
     batch, target = _batch_and_target(spark, sf_dir)
@@ -312,34 +316,31 @@ def insert_one_per_key(spark, sf_dir):
     return not_in_target(one_per_key(batch, keys), target, keys, hot_rows=None).select(*keys)
 
 
-@query
+@query("insert_new_cash_entries")
 def insert_new_cash_entries(spark, sf_dir):
     return _insert_events(spark, sf_dir, jobs.CASH_ENTRIES, testdata.cash_entry_pages)
 
 
-@query
+@query("insert_new_cash_deposits")
 def insert_new_cash_deposits(spark, sf_dir):
     return _insert_events(spark, sf_dir, jobs.CASH_DEPOSITS, testdata.cash_deposit_pages)
 
 
-@query
+@query("insert_new_shifts")
 def insert_new_shifts(spark, sf_dir):
     return _insert_events(spark, sf_dir, jobs.TIME_ENTRIES, testdata.time_entry_pages)
 
 
-@query
+@query("load_metrics")
 def load_counts(spark, sf_dir):
     batch, target = _batch_and_target(spark, sf_dir)
     return load_metrics(batch, not_in_target(batch, target, list(FACT_ORDER_ITEMS.key)))
 
 
-QUERIES["load_metrics"] = QUERIES.pop("load_counts")
-
-
 # --- scope and windows ------------------------------------------------------------
 
 
-@query
+@query("tenant_scope")
 def tenant_scope(spark, sf_dir):
     """Sales lines per restaurant of one tenant."""
     lines = testdata.table(spark, sf_dir, "lineitem").select(
@@ -353,10 +354,10 @@ def tenant_scope(spark, sf_dir):
     )
 
 
-@query
+@query("date_range_scope")
 def date_range_scope(spark, sf_dir):
     """Orders opened in a range of days, both included, in UTC."""
-    orders = _parsed_headers(spark, sf_dir).valid
+    orders = _valid_headers(spark, sf_dir)
     return in_instants(orders, F.col("openedDate"), "1996-03-01", "1998-02-28").select("guid", "openedDate")
 
 
@@ -369,36 +370,28 @@ def _order_range(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     )
 
 
-@query
+@query("week_windows")
 def week_windows_of_orders(spark, sf_dir):
     first, last = _order_range(spark, sf_dir)
     span = first.select("first", last.scalar().alias("last"))
     return span.select(F.explode(week_windows(F.col("first"), F.col("last"))).alias("w")).select("w.*")
 
 
-@query
+@query("day_expansion")
 def days_of_orders(spark, sf_dir):
     first, last = _order_range(spark, sf_dir)
     span = first.select("first", last.scalar().alias("last"))
     return span.select(F.explode(each_day(F.col("first"), F.col("last"))).alias("business_date"))
 
 
-@query
+@query("backfill_plan")
 def backfill_units(spark, sf_dir):
     first, last = _order_range(spark, sf_dir)
     restaurants = testdata.tenants(spark, sf_dir).select("restaurant_guid")
     return backfill_plan(restaurants, first.scalar(), last.scalar())
 
 
-for _name, _function in (
-    ("week_windows", "week_windows_of_orders"),
-    ("day_expansion", "days_of_orders"),
-    ("backfill_plan", "backfill_units"),
-):
-    QUERIES[_name] = QUERIES.pop(_function)
-
-
-@query
+@query("rows_per_backfill_window")
 def rows_per_backfill_window(spark, sf_dir):
     """Orders and their worth per week window."""
     first, last = _order_range(spark, sf_dir)
@@ -415,24 +408,24 @@ def rows_per_backfill_window(spark, sf_dir):
 # --- reports and history ------------------------------------------------------------
 
 
-@query
+@query("daily_sales_by_restaurant")
 def daily_sales_by_restaurant(spark, sf_dir):
     sales = marts.daily_sales(_order_items(spark, sf_dir), _restaurants(spark, sf_dir))
     return sales.withColumns({c: F.round(c, 2) for c in ("quantity", "revenue", "discounts")})
 
 
-@query
+@query("daily_tips_by_restaurant")
 def daily_tips_by_restaurant(spark, sf_dir):
     return marts.daily_tips(_order_items(spark, sf_dir)).withColumn("tips", F.round("tips", 2))
 
 
-@query
+@query("daily_labor_by_restaurant")
 def daily_labor_by_restaurant(spark, sf_dir):
     labor = marts.daily_labor(_event_fact(spark, sf_dir, jobs.TIME_ENTRIES, testdata.time_entry_pages))
     return labor.withColumns({c: F.round(c, 2) for c in ("hours", "pay")})
 
 
-@query
+@query("scd2_history")
 def scd2_history(spark, sf_dir):
     snapshots = testdata.employee_snapshots(testdata.table(spark, sf_dir, "customer"))
     return history_of(snapshots, ["employee_guid"], ["job_title"])

@@ -20,7 +20,7 @@ from tillhouse.operators.enforce import REASON, accepted, rejected, strict
 from tillhouse.operators.menus import menu_items
 from tillhouse.operators.orders import normalise_orders, order_defect
 from tillhouse.operators.scope import date_range, in_query_days, in_restaurants, restaurants_of
-from tillhouse.operators.summaries import as_rejects, count_by
+from tillhouse.operators.summaries import as_rejects, every_row, rejected_row, tally
 from tillhouse.operators.windows import backfill_plan, with_window
 from tillhouse.schemas import (
     CASH_DEPOSIT_DOC,
@@ -36,6 +36,7 @@ from tillhouse.schemas import (
     FACT_ORDER_ITEMS,
     JOB_DOC,
     ORDER_DOC,
+    ORDER_HEADER_DOC,
     RESTAURANT_DOC,
     TIME_ENTRY_DOC,
     Table,
@@ -55,11 +56,15 @@ class Fact:
     document: str
     table: Table
     flatten: Callable[..., DataFrame]
+    # What is needed of a document to count and validate it; the rest is skipped.
+    header: str = "guid string"
     prepare: Callable[[DataFrame], DataFrame] = lambda docs: docs
     defect: Callable[[], Column] = lambda: F.lit(None).cast("string")
 
 
-ORDERS = Fact("orders", ORDER_DOC, FACT_ORDER_ITEMS, flatten.order_items, normalise_orders, order_defect)
+ORDERS = Fact(
+    "orders", ORDER_DOC, FACT_ORDER_ITEMS, flatten.order_items, ORDER_HEADER_DOC, normalise_orders, order_defect
+)
 CASH_ENTRIES = Fact("cash_entries", CASH_ENTRY_DOC, FACT_CASH_ENTRIES, flatten.cash_entries)
 CASH_DEPOSITS = Fact("cash_deposits", CASH_DEPOSIT_DOC, FACT_CASH_DEPOSITS, flatten.cash_deposits)
 TIME_ENTRIES = Fact("time_entries", TIME_ENTRY_DOC, FACT_LABOR_SHIFTS, flatten.labor_shifts)
@@ -94,6 +99,11 @@ def parse(fact: Fact, pages: DataFrame, page_seen: Observation | None = None, do
     return Parsed(parsed, docs)
 
 
+def parse_headers(fact: Fact, pages: DataFrame) -> DataFrame:
+    """Documents with their reason, parsed only as far as that takes."""
+    return fact.prepare(documents(parse_pages(pages, fact.header))).withColumn(REASON, fact.defect())
+
+
 @dataclass
 class RunResult:
     """What a run did. The frames are lazy; `summary` is plain values."""
@@ -157,19 +167,22 @@ def _load_fact(
         "rejected": page_seen.get["broken"] + doc_seen.get["invalid"] + counts.rejected,
     }
     # Parsing again is left to whoever looks at the rejects or the counts.
-    fresh = parse(fact, pages)
-    broken = broken_pages(fresh.pages).withColumn(REASON, F.col("page_error")).drop("data", "page_error")
+    headers = parse_headers(fact, pages)
+    broken = broken_pages(parse_pages(pages, fact.document)).withColumn(REASON, F.col("page_error")).drop("data", "page_error")
     rejects = reduce(
         DataFrame.unionByName,
         [
             as_rejects(broken, "page", table.name),
-            as_rejects(fresh.invalid, "document", table.name),
+            as_rejects(rejected(headers), "document", table.name),
             as_rejects(rejected(checked), "row", table.name),
         ],
     )
     loaded = store.read(table).where(F.col("_loaded_at") == ctx.stamp)
-    by_restaurant = count_by(
-        ["restaurant_guid"], fetched=fresh.docs, flattened=checked, rejected=rejected(checked), loaded=loaded
+    by_restaurant = tally(
+        ["restaurant_guid"],
+        (headers, {"fetched": every_row(), "documents_rejected": rejected_row()}),
+        (checked, {"flattened": every_row(), "rejected": rejected_row()}),
+        (loaded, {"loaded": every_row()}),
     ).select(F.lit(table.name).alias("table_name"), "*")
     return result, rejects, by_restaurant, checked
 
@@ -250,7 +263,7 @@ def run_dimensions(ctx: Context, restaurant_guid=None, mode: str = "full") -> Ru
         n_rejected += n_bad
         rejects.append(table_rejects)
         counts.append(
-            count_by(["restaurant_guid"], flattened=staged, rejected=rejected(staged)).select(
+            tally(["restaurant_guid"], (staged, {"flattened": every_row(), "rejected": rejected_row()})).select(
                 F.lit(table.name).alias("table_name"), "*"
             )
         )
@@ -301,10 +314,10 @@ def run_backfill(
         ],
     )
     unit = ["restaurant_guid", "window_no"]
-    by_window = count_by(
+    by_window = tally(
         unit,
-        planned=plan.select(*unit),
-        flattened=with_window(run.staged, first, last).select(*unit),
-        loaded=with_window(loaded, first, last).select(*unit),
+        (plan, {"planned": every_row()}),
+        (with_window(run.staged, first, last), {"flattened": every_row()}),
+        (with_window(loaded, first, last), {"loaded": every_row()}),
     ).drop("planned")
     return Backfill(plan, run, by_window)

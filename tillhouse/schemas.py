@@ -215,10 +215,15 @@ ORDER_DATES = ["businessDate", "voidBusinessDate"]
 # Days and timestamps come in several forms and are read as text. `restaurantGuid`
 # is a variant because an absent key and a null differ there.
 
-ORDER_DOC = f"""
+# An order without its checks, for work on whole documents.
+ORDER_HEADER_DOC = f"""
     guid string, restaurantGuid variant, businessDate string, voidBusinessDate string,
     {", ".join(f"{name} string" for name in ORDER_TIMESTAMPS)},
-    voided boolean, deleted boolean, server struct<guid:string>,
+    voided boolean, deleted boolean, server struct<guid:string>
+"""
+
+ORDER_DOC = f"""
+    {ORDER_HEADER_DOC},
     checks array<struct<
         guid:string, totalAmount:double, taxAmount:double,
         payments:array<struct<tipAmount:double, type:string>>,
