@@ -89,17 +89,15 @@ def line_orders(lines: DataFrame) -> DataFrame:
     order, part, line = c("l_orderkey"), c("l_partkey"), c("l_linenumber")
     check_key = _text(order, "-", line)
 
-    def payment(k: int) -> Column:
-        kind = F.when((part + k) % 3 == 1, "CREDIT").when((part + k) % 3 == 2, "" if k % 2 == 0 else "CASH")
+    def payment(k: Column) -> Column:
+        kind = F.when((part + k) % 3 == 1, "CREDIT").when((part + k) % 3 == 2, F.when(k % 2 == 0, "").otherwise("CASH"))
         tip = _when((c("l_suppkey") + k) % 4 != 0, k * c("l_quantity") * 0.25)
         return F.struct(tip.alias("tipAmount"), kind.alias("type"))
 
-    def selection(k: int) -> Column:
-        guid = _text(check_key, f"-{k}")
-        flagged = F.when(c("l_returnflag") == "A", False)
+    def selection(k: Column) -> Column:
         return F.struct(
-            (F.when(part % 7 == 0, "").otherwise(guid) if k == 3 else guid).alias("guid"),
-            (F.when(c("l_returnflag") == "R", True).otherwise(flagged) if k == 1 else flagged).alias("voided"),
+            F.when((k == 3) & (part % 7 == 0), "").otherwise(_text(check_key, "-", k)).alias("guid"),
+            F.when((c("l_returnflag") == "R") & (k == 1), True).when(c("l_returnflag") == "A", False).alias("voided"),
             F.when(part % 2 == 0, part.cast("string")).otherwise("").alias("itemGuid"),
             F.struct(_text("P", part).alias("guid")).alias("item"),
             _text("item ", part).alias("displayName"),
@@ -110,22 +108,22 @@ def line_orders(lines: DataFrame) -> DataFrame:
             c("l_extendedprice").alias("price"),
             (c("l_extendedprice") + k).alias("preDiscountPrice"),
             c("l_discount").alias("appliedDiscountAmount"),
-            (c("l_tax") if k != 2 else F.lit(None).cast("double")).alias("tax"),
+            _when(k != 2, c("l_tax")).alias("tax"),
         )
 
     first = F.struct(
         _when(part % 71 != 0, _text(check_key, "-A")).alias("guid"),
         c("l_extendedprice").alias("totalAmount"),
         _when(c("l_tax") != 0, c("l_tax")).alias("taxAmount"),
-        F.slice(F.array(*[payment(k) for k in range(1, 7)]), F.lit(1), line - 1).alias("payments"),
-        F.slice(F.array(*[selection(k) for k in range(1, 4)]), F.lit(1), line % 4).alias("selections"),
+        F.transform(_up_to(line - 1), payment).alias("payments"),
+        F.transform(_up_to(line % 4), selection).alias("selections"),
     )
     second = F.struct(
         _text(check_key, "-B").alias("guid"),
         F.lit(None).cast("double").alias("totalAmount"),
         F.lit(None).cast("double").alias("taxAmount"),
         F.array().cast("array<struct<tipAmount:double,type:string>>").alias("payments"),
-        F.array(selection(9)).alias("selections"),
+        F.transform(F.array(F.lit(9)), selection).alias("selections"),
     )
     document = F.to_json(
         F.struct(
