@@ -189,3 +189,4 @@ def test_facts_are_laid_out_by_day(spark, context):
     text = plan._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(business_date" in text
     assert plan.count() == 4
+    assert store.drop_staging() and plan.count() == 4

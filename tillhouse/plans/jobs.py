@@ -106,14 +106,28 @@ def parse_headers(fact: Fact, pages: DataFrame) -> DataFrame:
 
 @dataclass
 class RunResult:
-    """What a run did. The frames are lazy; `summary` is plain values."""
+    """What a run did. `summary` is plain values; the frames are made on request."""
 
     status: str
     summary: dict
-    rejects: DataFrame | None = None
-    by_restaurant: DataFrame | None = None
+    find_rejects: Callable[[], DataFrame] = field(repr=False)
+    count_restaurants: Callable[[], DataFrame] = field(repr=False)
     staged: DataFrame | None = field(default=None, repr=False)
 
+    @property
+    def rejects(self) -> DataFrame:
+        """What was set aside: `table_name, stage, restaurant_guid, reject_reason, record`."""
+        return self.find_rejects()
+
+    @property
+    def by_restaurant(self) -> DataFrame:
+        """The counters of each table and restaurant."""
+        return self.count_restaurants()
+
+
+def _together(frames: list[Callable[[], DataFrame]]) -> Callable[[], DataFrame]:
+    return lambda: reduce(DataFrame.unionByName, [frame() for frame in frames])
+
 
 @dataclass
 class Context:
@@ -147,7 +161,7 @@ class Context:
 
 def _load_fact(
     ctx: Context, fact: Fact, restaurants: DataFrame, start: str, end: str, fail_batch: bool, dedup_batch: bool
-) -> tuple[dict, DataFrame, DataFrame, DataFrame]:
+) -> tuple[dict, Callable[[], DataFrame], Callable[[], DataFrame], DataFrame]:
     store, table = ctx.store, fact.table
     pages = in_query_days(ctx.pages(fact.endpoint, restaurants), start, end)
     page_seen, doc_seen = Observation(), Observation()
@@ -166,31 +180,37 @@ def _load_fact(
         "duplicates_skipped": load.duplicates_skipped,
         "rejected": page_seen.get["broken"] + doc_seen.get["invalid"] + counts.rejected,
     }
-    # Parsing again is left to whoever looks at the rejects or the counts.
-    headers = parse_headers(fact, pages)
-    broken = broken_pages(parse_pages(pages, fact.document)).withColumn(REASON, F.col("page_error")).drop("data", "page_error")
-    rejects = reduce(
-        DataFrame.unionByName,
-        [
-            as_rejects(broken, "page", table.name),
-            as_rejects(rejected(headers), "document", table.name),
+
+    # Only who asks for rejects or counts by restaurant pays for parsing again.
+    def rejects() -> DataFrame:
+        broken = broken_pages(parse_pages(pages, fact.document)).withColumn(REASON, F.col("page_error"))
+        found = [
+            as_rejects(broken.drop("data", "page_error"), "page", table.name),
+            as_rejects(rejected(parse_headers(fact, pages)), "document", table.name),
             as_rejects(rejected(checked), "row", table.name),
-        ],
-    )
-    loaded = store.read(table).where(F.col("_loaded_at") == ctx.stamp)
-    by_restaurant = tally(
-        ["restaurant_guid"],
-        (headers, {"fetched": every_row(), "documents_rejected": rejected_row()}),
-        (checked, {"flattened": every_row(), "rejected": rejected_row()}),
-        (loaded, {"loaded": every_row()}),
-    ).select(F.lit(table.name).alias("table_name"), "*")
+        ]
+        return reduce(DataFrame.unionByName, found)
+
+    def by_restaurant() -> DataFrame:
+        return tally(
+            ["restaurant_guid"],
+            (parse_headers(fact, pages), {"fetched": every_row(), "documents_rejected": rejected_row()}),
+            (checked, {"flattened": every_row(), "rejected": rejected_row()}),
+            (_loaded_by(ctx, table), {"loaded": every_row()}),
+        ).select(F.lit(table.name).alias("table_name"), "*")
+
     return result, rejects, by_restaurant, checked
 
 
+def _loaded_by(ctx: Context, table: Table) -> DataFrame:
+    """Rows of a fact that this run inserted."""
+    return ctx.store.read(table).where(F.col("_loaded_at") == ctx.stamp)
+
+
 def _run_facts(ctx: Context, facts: list[Fact], restaurant_guid, start, end, fail_batch, dedup_batch) -> RunResult:
     start, end = date_range(start, end)
     restaurants = restaurants_of(ctx.tenants, ctx.tenant, restaurant_guid)
-    summary = {"start_date": start, "end_date": end, "restaurants_processed": restaurants.count(), "tables": {}}
+    summary = {"start_date": start, "end_date": end, "restaurants_processed": restaurants.distinct().count(), "tables": {}}
     rejects, counts, staged = [], [], []
     for fact in facts:
         result, bad, by_restaurant, rows = _load_fact(ctx, fact, restaurants, start, end, fail_batch, dedup_batch)
@@ -202,8 +222,8 @@ def _run_facts(ctx: Context, facts: list[Fact], restaurant_guid, start, end, fai
     return RunResult(
         "partial" if n_rejected else "success",
         summary,
-        reduce(DataFrame.unionByName, rejects),
-        reduce(DataFrame.unionByName, counts),
+        _together(rejects),
+        _together(counts),
         reduce(DataFrame.unionByName, staged),
     )
 
@@ -248,7 +268,7 @@ def dimension_rows(ctx: Context, restaurants: DataFrame) -> list[tuple[Table, Da
 def run_dimensions(ctx: Context, restaurant_guid=None, mode: str = "full") -> RunResult:
     """Refreshes the four dimensions, each in full or only for the restaurants read."""
     restaurants = restaurants_of(ctx.tenants, ctx.tenant, restaurant_guid)
-    summary = {"restaurants_processed": restaurants.count(), "tables": {}}
+    summary = {"restaurants_processed": restaurants.distinct().count(), "tables": {}}
     rejects, counts, n_rejected = [], [], 0
     for table, rows, broken in dimension_rows(ctx, restaurants):
         staged = ctx.store.stage(table.name, rows)
@@ -270,8 +290,8 @@ def run_dimensions(ctx: Context, restaurant_guid=None, mode: str = "full") -> Ru
     return RunResult(
         "partial" if n_rejected else "success",
         summary,
-        reduce(DataFrame.unionByName, rejects),
-        reduce(DataFrame.unionByName, counts),
+        lambda: reduce(DataFrame.unionByName, rejects),
+        lambda: reduce(DataFrame.unionByName, counts),
     )
 
 
@@ -302,16 +322,13 @@ def run_backfill(
         raise ValueError(f"unknown load {kind!r}")
     end = end or date_range()[0]
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
-    plan = backfill_plan(restaurants_of(ctx.tenants, ctx.tenant, restaurant_guid), first, last)
+    plan = backfill_plan(restaurants_of(ctx.tenants, ctx.tenant, restaurant_guid).distinct(), first, last)
     if dry_run:
         return Backfill(plan)
     run = RUNS[kind](ctx, restaurant_guid, start, end, **options)
     loaded = reduce(
         DataFrame.unionByName,
-        [
-            ctx.store.read(table).where(F.col("_loaded_at") == ctx.stamp).select("restaurant_guid", "business_date")
-            for table in _TABLES[kind]
-        ],
+        [_loaded_by(ctx, table).select("restaurant_guid", "business_date") for table in _TABLES[kind]],
     )
     unit = ["restaurant_guid", "window_no"]
     by_window = tally(

@@ -12,7 +12,6 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,14 +39,16 @@ class Warehouse:
 
     # --- facts ---------------------------------------------------------------
 
+    def _hadoop_path(self, path: str):
+        """A path with its file system, as Spark itself would resolve it."""
+        context = self.spark.sparkContext
+        found = context._jvm.org.apache.hadoop.fs.Path(path)
+        return found.getFileSystem(context._jsc.hadoopConfiguration()), found
+
     def exists(self, path: str) -> bool:
-        try:
-            self.spark.read.schema("_ string").parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
-        return True
+        """One look-up; reading the path would list every partition folder."""
+        files, found = self._hadoop_path(path)
+        return files.exists(found)
 
     def ensure(self, table: Table) -> None:
         """Creates a fact table's folder when it is not there."""
@@ -84,6 +85,14 @@ class Warehouse:
         rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def drop_staging(self) -> bool:
+        """Deletes the staged tables of finished runs, whose frames then end too.
+
+        Call it when no run is under way.
+        """
+        files, staging = self._hadoop_path(f"{self.root}/_staging")
+        return files.delete(staging, True)
+
     def insert_new(
         self, table: Table, staged: DataFrame, dedup_batch: bool = False, hot_rows: int = HOT_ROWS
     ) -> LoadResult:
