@@ -6,6 +6,7 @@ load stamp is left out, so that results can be compared.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,7 @@ from tillhouse.schemas import (
 from tillhouse.session import shared_folder, use_utc
 from tillhouse.sinks.warehouse import Warehouse
 from tillhouse.sources.envelope import documents, first_documents, menu_pages, parse_pages
+from tillhouse.streaming.ingest import insert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -337,6 +339,19 @@ def load_counts(spark, sf_dir):
     return load_metrics(batch, not_in_target(batch, target, list(FACT_ORDER_ITEMS.key)))
 
 
+@query("stream_cash_entries")
+def stream_cash_entries(spark, sf_dir):
+    """Cash entries streamed into the fact table, and once more from the start."""
+    folder = f"{shared_folder(spark)}/stream_{uuid.uuid4().hex}"
+    pages = testdata.cash_entry_pages(testdata.table(spark, sf_dir, "events"))
+    pages.write.parquet(f"{folder}/pages")
+    store = Warehouse(spark, folder, "streamed")
+    for attempt in ("first", "replay"):
+        landed = spark.readStream.schema(pages.schema).parquet(f"{folder}/pages")
+        insert_stream(store, jobs.CASH_ENTRIES, landed, f"{folder}/{attempt}").awaitTermination()
+    return _plain(store.read(jobs.CASH_ENTRIES.table))
+
+
 # --- scope and windows ------------------------------------------------------------
 
 

@@ -221,6 +221,7 @@ FROM part, unnest(range(1, p_size % 7 + 2)) AS t(k) WHERE NOT (p_partkey % 6 = 0
     "insert_new_order_items": _BATCH + "SELECT * FROM fresh",
     "insert_one_per_key": _BATCH + "SELECT DISTINCT selection_guid, order_guid FROM fresh",
     "insert_new_cash_entries": _insert(_CASH, "cash_entry_guid"),
+    "stream_cash_entries": f"SELECT * EXCLUDE (ts) FROM ({_CASH}) f",
     "insert_new_cash_deposits": _insert(_DEPOSITS, "deposit_guid"),
     "insert_new_shifts": _insert(_SHIFTS, "time_entry_guid"),
     "load_metrics": _BATCH

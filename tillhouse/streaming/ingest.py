@@ -14,36 +14,44 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tillhouse.operators.enforce import REASON, accepted, rejected
 from tillhouse.operators.scope import in_restaurants, restaurants_of
 from tillhouse.operators.summaries import as_rejects
-from tillhouse.plans.jobs import Context, Fact, parse
+from tillhouse.plans.jobs import Context, Fact, parse, parse_headers
+from tillhouse.sinks.warehouse import Warehouse
 from tillhouse.sources.envelope import broken_pages
 from tillhouse.sources.landing import stream_pages
 
 
-def start_ingest(ctx: Context, fact: Fact, checkpoint: str, restaurant_guid=None, **source_options) -> StreamingQuery:
-    """Loads what has landed since the last call, then stops.
+def insert_stream(store: Warehouse, fact: Fact, pages: DataFrame, checkpoint: str) -> StreamingQuery:
+    """Loads the pages that have come in since the last call, then stops.
 
-    `source_options` bound a batch, such as `maxFilesPerTrigger`. Rejects are
-    appended to `<table>_rejects` beside the fact table; a replay may repeat them.
+    Rejects are appended to `<table>_rejects` beside the fact table; a replay may
+    repeat them.
     """
-    store = ctx.store
-    restaurants = restaurants_of(ctx.tenants, ctx.tenant, restaurant_guid)
 
-    def load(pages: DataFrame, batch: int) -> None:
-        parsed = parse(fact, in_restaurants(pages, restaurants))
+    def load(batch: DataFrame, _: int) -> None:
+        parsed = parse(fact, batch)
         staged = store.stage(fact.table.name, fact.flatten(parsed.valid))
         store.insert_new(fact.table, accepted(staged, fact.table))
         broken = broken_pages(parsed.pages).withColumn(REASON, F.col("page_error")).drop("data", "page_error")
         rejects = (
             as_rejects(broken, "page", fact.table.name)
-            .unionByName(as_rejects(parsed.invalid, "document", fact.table.name))
+            .unionByName(as_rejects(rejected(parse_headers(fact, batch)), "document", fact.table.name))
             .unionByName(as_rejects(rejected(staged), "row", fact.table.name))
         )
         rejects.write.mode("append").json(f"{store.path(fact.table)}_rejects")
 
-    pages = stream_pages(ctx.spark, ctx.landing, fact.endpoint, ctx.one_per_line, **source_options)
     return (
         pages.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def start_ingest(ctx: Context, fact: Fact, checkpoint: str, restaurant_guid=None, **source_options) -> StreamingQuery:
+    """Loads what has landed for a tenant since the last call, then stops.
+
+    `source_options` bound a batch, such as `maxFilesPerTrigger`.
+    """
+    restaurants = restaurants_of(ctx.tenants, ctx.tenant, restaurant_guid)
+    pages = stream_pages(ctx.spark, ctx.landing, fact.endpoint, ctx.one_per_line, **source_options)
+    return insert_stream(ctx.store, fact, in_restaurants(pages, restaurants), checkpoint)
