@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillhouse.schemas import ORDER_TIMESTAMPS
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -164,13 +166,9 @@ def header_orders(orders: DataFrame) -> DataFrame:
     c = F.col
     key, day = c("o_orderkey"), c("o_orderdate")
     offsets = ["+0000", "-0000", "Z", "+0530", "+0000", "-0000", "Z", "+0530", "-0000"]
-    names = [
-        "openedDate", "closedDate", "modifiedDate", "paidDate", "voidDate",
-        "deletedDate", "createdDate", "promisedDate", "estimatedFulfillmentDate",
-    ]
     stamps = [
         _when(key % (at + 2) != 0, _stamp(F.expr(f"o_orderdate + interval {at} hour"), offset)).alias(name)
-        for at, (name, offset) in enumerate(zip(names, offsets))
+        for at, (name, offset) in enumerate(zip(ORDER_TIMESTAMPS, offsets))
     ]
     document = F.to_json(
         F.struct(

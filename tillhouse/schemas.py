@@ -204,7 +204,7 @@ DIM_MENU_ITEMS = Table(
 FACTS = {t.name: t for t in (FACT_ORDER_ITEMS, FACT_CASH_ENTRIES, FACT_CASH_DEPOSITS, FACT_LABOR_SHIFTS)}
 DIMENSIONS = {t.name: t for t in (DIM_RESTAURANTS, DIM_EMPLOYEES, DIM_JOBS, DIM_MENU_ITEMS)}
 
-# Order fields that carry a timestamp, and those that carry a business day.
+# --- Fixed values: order fields that carry a timestamp, and a business day ---
 ORDER_TIMESTAMPS = [
     "openedDate", "closedDate", "modifiedDate", "paidDate", "voidDate",
     "deletedDate", "createdDate", "promisedDate", "estimatedFulfillmentDate",
