@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import curriculum, host_reputation
-from tillhouse.llm.common import table
+from tillhouse.llm import curriculum, host_reputation, outliers
+from tillhouse.llm.common import cut, table
 
 
 def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
@@ -29,6 +29,13 @@ def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    stats = cut(outliers.text_stats(docs).drop("text"), "text_stats")
+    judged = outliers.judge(stats, *outliers.fit(stats))
+    return judged.select("doc_id", *outliers.BASE, "base_failed", "kept", "distance")
+
+
 def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = curriculum.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
@@ -36,6 +43,7 @@ def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_host_reputation": op4_host_reputation,
+    "op6_robust_outliers": op6_robust_outliers,
     "op8_curriculum_mix": op8_curriculum_mix,
 }
 
