@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Applications that have this package on their executors.
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python, wherever the session was started."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    if package.is_dir():
+        target = Path(tempfile.mkdtemp(prefix="tillhouse-")) / "tillhouse.zip"
+        with zipfile.ZipFile(target, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(target))
+    _SHIPPED.add(context.applicationId)
+
+
 def cut(frame: DataFrame, name: str) -> DataFrame:
     """Writes rows to the folder all executors share and reads them back.
 

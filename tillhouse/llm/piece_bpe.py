@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tillhouse.llm.common import ship
+
 SIGN = "▁"
 NONE = np.int32(2**31 - 1)
 #: Units of more characters are merged by a heap, one at a time.
 LONG = 48
 #: Units kept per task, and ids per Arrow batch that is put out.
-KEPT_UNITS, BATCH_IDS = 300_000, 2_000_000
+KEPT_UNITS, BATCH_IDS = 600_000, 2_000_000
 
 
 class PieceEncoder:
@@ -117,52 +119,51 @@ class PieceEncoder:
     def _lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged id of pairs; rank NONE where the pair is no piece."""
         key = left.astype(np.int64) << 32 | (right.astype(np.int64) & 0xFFFFFFFF)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        hit = (self.keys[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.ranks[at], NONE), self.merged[at]
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == key, self.ranks[at], NONE), self.merged[at]
 
     def merge_rows(self, units: list[str]) -> list[bytes]:
-        """Units of up to LONG characters, all rows at once."""
-        width = max(map(len, units)) + 1
+        """Units of up to LONG characters, all rows at once.
+
+        Symbols keep their cells; each cell knows the next and the previous one in use.
+        """
+        rows, width = len(units), max(map(len, units)) + 1
         get = self.char_ids.get
-        # -1: a character without a piece; -3: behind the end.
-        sym = np.full((len(units), width), -3, np.int32)
+        # -1: a character without a piece; -3: behind the end, or merged into another.
+        sym = np.full(rows * width, -3, np.int32)
         lengths = np.array([len(u) for u in units])
-        cells = np.arange(width) < lengths[:, None]
-        sym[cells] = [get(c, -1) for c in itertools.chain.from_iterable(units)]
-        rank, merged = self._lookup(sym[:, :-1], sym[:, 1:])
-        done = sym
-        live = np.arange(len(units))
-        columns = np.arange(width)
+        sym[(np.arange(width) < lengths[:, None]).ravel()] = [get(c, -1) for c in itertools.chain.from_iterable(units)]
+        rank, merged = np.full(rows * width, NONE, np.int32), np.zeros(rows * width, np.int32)
+        rank[:-1], merged[:-1] = self._lookup(sym[:-1], sym[1:])
+        cells = np.arange(rows * width, dtype=np.int32)
+        after, before = cells + 1, cells - 1
+        rank = rank.reshape(rows, width)
+        flat = rank.ravel()
+        live = np.arange(rows)
         while len(live):
-            best = rank.argmin(axis=1)
-            row = np.arange(len(live))
-            more = rank[row, best] != NONE
+            ranks = rank if len(live) == rows else rank[live]
+            best = live * width + ranks.argmin(axis=1)
+            more = flat[best] != NONE
             if not more.all():
-                done[live[~more]] = sym[~more]
-                live, sym, rank, merged, best = live[more], sym[more], rank[more], merged[more], best[more]
-                row = row[: len(live)]
-                if not len(live):
-                    break
-            sym[row, best] = merged[row, best]
-            # What stands behind the merged pair moves up by one.
-            moved = np.minimum(columns + (columns > best[:, None]), width - 1)
-            sym = np.take_along_axis(sym, moved, axis=1)
-            sym[:, -1] = -3
-            pair = np.minimum(columns[:-1] + (columns[:-1] >= best[:, None]), width - 2)
-            rank, merged = np.take_along_axis(rank, pair, axis=1), np.take_along_axis(merged, pair, axis=1)
-            rank[:, -1] = NONE
-            rank[row, best], merged[row, best] = self._lookup(sym[row, best], sym[row, best + 1])
-            left = best > 0
-            at = best[left] - 1
-            rank[row[left], at], merged[row[left], at] = self._lookup(sym[row[left], at], sym[row[left], at + 1])
-        counts = (done != -3).sum(axis=1)
-        plain = (done != -1).all(axis=1)
-        flat = done[done != -3].tobytes()
+                live, best = live[more], best[more]
+            gone = after[best]
+            sym[best], sym[gone] = merged[best], -3
+            then = after[gone]
+            after[best], before[np.minimum(then, rows * width - 1)] = then, best
+            flat[gone] = NONE
+            # Cells next to a row's ends are empty or of another row: no pair there.
+            flat[best], merged[best] = self._lookup(sym[best], sym[np.minimum(then, rows * width - 1)])
+            inner = best % width > 0
+            left = before[best[inner]]
+            flat[left], merged[left] = self._lookup(sym[left], sym[best[inner]])
+        grid = sym.reshape(rows, width)
+        counts = (grid != -3).sum(axis=1)
+        ids = sym[sym != -3].tobytes()
         ends = np.cumsum(counts) * 4
         starts = ends - counts * 4
-        out = [flat[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-        for r in np.flatnonzero(~plain).tolist():
+        out = [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        for r in np.flatnonzero((grid == -1).any(axis=1)).tolist():
             out[r] = self.merge_by_heap(units[r])
         return out
 
@@ -224,6 +225,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
     are; a column named `ids_col` is replaced. One text in `check_every` of each
     batch, the first included, is compared with the library.
     """
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(_read(model_path))
     rows = docs.drop(ids_col)
     at = rows.columns.index(text_col)
@@ -250,6 +252,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
 def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """The rows with `text_col`, what the library decodes from the ids; null ids give
     an empty text. A column named `text_col` is replaced."""
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(_read(model_path))
     rows = docs.drop(text_col)
     at = rows.columns.index(ids_col)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import curriculum, host_reputation, outliers
+from tillhouse.llm import curriculum, host_reputation, outliers, pii, piece_bpe
 from tillhouse.llm.common import cut, table
 
 
@@ -36,15 +36,38 @@ def op6_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *outliers.BASE, "base_failed", "kept", "distance")
 
 
+def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    count = lambda order: F.size(F.filter("base", lambda s: s["order"] == order)).cast("long")
+    return found.select(
+        "doc_id", *[count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS[:4])],
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = curriculum.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = piece_bpe.decode(piece_bpe.encode(docs, model).drop("text"), model)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op4_host_reputation": op4_host_reputation,
     "op6_robust_outliers": op6_robust_outliers,
+    "op7_boosted_pii": op7_boosted_pii,
     "op8_curriculum_mix": op8_curriculum_mix,
+    "op10_piece_bpe": op10_piece_bpe,
 }
 
 ORACLE: dict[str, str] = {}
