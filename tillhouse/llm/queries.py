@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import curriculum, host_reputation, outliers, pii, piece_bpe
+from tillhouse.llm import curriculum, host_reputation, minmax_dedup, outliers, pii, piece_bpe
 from tillhouse.llm.common import cut, table
 
 
@@ -29,6 +29,10 @@ def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
 def op6_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     stats = cut(outliers.text_stats(docs).drop("text"), "text_stats")
@@ -64,6 +68,7 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_host_reputation": op4_host_reputation,
+    "op5_minmax_dedup": op5_minmax_dedup,
     "op6_robust_outliers": op6_robust_outliers,
     "op7_boosted_pii": op7_boosted_pii,
     "op8_curriculum_mix": op8_curriculum_mix,
