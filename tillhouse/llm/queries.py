@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import curriculum, host_reputation, minmax_dedup, outliers, pii, piece_bpe
+from tillhouse.llm import curriculum, embedding_dedup, host_reputation, minmax_dedup, outliers, pii, piece_bpe
 from tillhouse.llm.common import cut, table
 
 
@@ -54,6 +54,10 @@ def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op9_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op6_robust_outliers": op6_robust_outliers,
     "op7_boosted_pii": op7_boosted_pii,
     "op8_curriculum_mix": op8_curriculum_mix,
+    "op9_pca_tiles": op9_pca_tiles,
     "op10_piece_bpe": op10_piece_bpe,
 }
 
