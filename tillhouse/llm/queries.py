@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import curriculum, embedding_dedup, host_reputation, minmax_dedup, outliers, pii, piece_bpe
+from tillhouse.llm import curriculum, embedding_dedup, host_reputation, language_id, minmax_dedup, outliers, pii, piece_bpe
 from tillhouse.llm.common import cut, table
 
 
@@ -29,6 +29,13 @@ def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    samples = language_id.learn(docs.where(~language_id.held_out(F.col("doc_id"))))
+    rows = docs.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return language_id.identify(rows, samples).drop("text")
+
+
 def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=4)
 
@@ -71,6 +78,7 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_cross_parsing": op3_cross_parsing,
     "op4_host_reputation": op4_host_reputation,
     "op5_minmax_dedup": op5_minmax_dedup,
     "op6_robust_outliers": op6_robust_outliers,
