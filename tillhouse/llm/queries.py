@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import curriculum, embedding_dedup, host_reputation, language_id, minmax_dedup, outliers, pii, piece_bpe
+from tillhouse.llm import curriculum, embedding_dedup, host_reputation, language_id, lm_scoring, minmax_dedup, outliers, pii, piece_bpe
 from tillhouse.llm.common import cut, table
 
 
@@ -29,6 +29,12 @@ def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op1_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled as good and not toxic."""
+    good = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+    return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
 def op3_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     samples = language_id.learn(docs.where(~language_id.held_out(F.col("doc_id"))))
@@ -78,6 +84,7 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_cross_entropy_difference": op1_cross_entropy_difference,
     "op3_cross_parsing": op3_cross_parsing,
     "op4_host_reputation": op4_host_reputation,
     "op5_minmax_dedup": op5_minmax_dedup,
