@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import curriculum, embedding_dedup, host_reputation, language_id, lm_scoring, minmax_dedup, outliers, pii, piece_bpe
+from tillhouse.llm import curriculum, embedding_dedup, host_reputation, language_id, lm_scoring, minmax_dedup, outliers, pii, piece_bpe, substring_dedup
 from tillhouse.llm.common import cut, table
 
 
@@ -35,6 +35,11 @@ def op1_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
 
 
+def op2_interval_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = substring_dedup.remove(table(spark, sf_dir, "documents"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     samples = language_id.learn(docs.where(~language_id.held_out(F.col("doc_id"))))
@@ -85,6 +90,7 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_cross_entropy_difference": op1_cross_entropy_difference,
+    "op2_interval_trees": op2_interval_trees,
     "op3_cross_parsing": op3_cross_parsing,
     "op4_host_reputation": op4_host_reputation,
     "op5_minmax_dedup": op5_minmax_dedup,
