@@ -29,8 +29,8 @@ SIGN = "▁"
 NONE = np.int32(2**31 - 1)
 #: Units of more characters are merged by a heap, one at a time.
 LONG = 48
-#: Units kept per task, and ids per Arrow batch that is put out.
-KEPT_UNITS, BATCH_IDS = 600_000, 2_000_000
+#: Units kept per task, and characters encoded at a time.
+KEPT_UNITS, BATCH_CHARS = 500_000, 1_000_000
 
 
 class PieceEncoder:
@@ -45,6 +45,8 @@ class PieceEncoder:
         ids = {lib.id_to_piece(i): i for i in range(size) if i not in fixed}
         self.byte_ids = [lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.char_ids = {p: i for p, i in ids.items() if len(p) == 1}
+        self.char_table = np.full(0x110000, -1, np.int32)
+        self.char_table[[ord(c) for c in self.char_ids]] = list(self.char_ids.values())
         self._refuse_others(lib, size)
         scores = np.array([lib.get_score(i) for i in range(size)])
         ranks = np.unique(-scores, return_inverse=True)[1]
@@ -129,11 +131,10 @@ class PieceEncoder:
         Symbols keep their cells; each cell knows the next and the previous one in use.
         """
         rows, width = len(units), max(map(len, units)) + 1
-        get = self.char_ids.get
         # -1: a character without a piece; -3: behind the end, or merged into another.
         sym = np.full(rows * width, -3, np.int32)
         lengths = np.array([len(u) for u in units])
-        sym[(np.arange(width) < lengths[:, None]).ravel()] = [get(c, -1) for c in itertools.chain.from_iterable(units)]
+        sym[(np.arange(width) < lengths[:, None]).ravel()] = self.char_table[np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)]
         rank, merged = np.full(rows * width, NONE, np.int32), np.zeros(rows * width, np.int32)
         rank[:-1], merged[:-1] = self._lookup(sym[:-1], sym[1:])
         cells = np.arange(rows * width, dtype=np.int32)
@@ -193,8 +194,11 @@ class PieceEncoder:
                 raise ValueError(f"differs from the sentencepiece library: {text[:200]!r}")
 
 
-#: The encoder of this worker process, by model.
+#: What this worker process has loaded, by model.
 _ENCODERS: dict[int, PieceEncoder] = {}
+_LIBRARIES: dict[int, object] = {}
+#: Rows taken out of an Arrow batch at a time.
+ROWS = 128
 
 
 def encoder_of(model: bytes) -> PieceEncoder:
@@ -205,19 +209,37 @@ def encoder_of(model: bytes) -> PieceEncoder:
     return _ENCODERS[key]
 
 
+def library_of(model: bytes):
+    """The library's processor in this worker process."""
+    import sentencepiece
+
+    key = hash(model)
+    if key not in _LIBRARIES:
+        _LIBRARIES.clear()
+        _LIBRARIES[key] = sentencepiece.SentencePieceProcessor(model_proto=model)
+    return _LIBRARIES[key]
+
+
 def _pieces(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
     """Ranges of about so many characters; a longer text is a range of its own."""
     start = total = 0
     for i, t in enumerate(texts):
         if total and total + len(t) > chars:
             yield start, i
-            start = total = 0
-            start = i
+            start, total = i, 0
         total += len(t)
     if start < len(texts):
         yield start, len(texts)
 
 
+def _parts(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, int, list[str]]]:
+    """Row ranges of a batch with their texts, few enough to hold as Python strings."""
+    for first in range(0, batch.num_rows, ROWS):
+        texts = [t or "" for t in batch.column(at).slice(first, ROWS).to_pylist()]
+        for a, b in _pieces(texts, BATCH_CHARS):
+            yield first + a, first + b, texts[a:b]
+
+
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", check_every: int = 16) -> DataFrame:
     """The rows with `ids_col`, the ids of each whole text, without begin or end ids.
 
@@ -234,9 +256,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(model.value)
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            for a, b in _pieces(texts, BATCH_IDS):
-                part = texts[a:b]
+            for a, b, part in _parts(batch, at):
                 found = encoder.encode(part)
                 encoder.check(part[::check_every], found[::check_every])
                 offsets = np.zeros(len(found) + 1, np.int32)
@@ -259,10 +279,12 @@ def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", text_col: str
     schema = T.StructType([*rows.schema.fields, T.StructField(text_col, T.StringType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = encoder_of(model.value).library
+        library = library_of(model.value)
         for batch in batches:
-            texts = [library.decode(ids) if ids else "" for ids in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
+            for a in range(0, batch.num_rows, ROWS):
+                part = batch.slice(a, ROWS)
+                texts = [library.decode(ids) if ids else "" for ids in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
