@@ -66,10 +66,10 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """`doc_id, size, source, source_size, target, taken, position` per document.
+    """`doc_id, size, source, source_size, target, taken, position, positions` per document.
 
-    `taken` is the words the mix takes from it, repeats counted; `position` the
-    training time of the middle of its words, null where nothing is taken. A null or blank
+    `taken` is the words the mix takes from it, repeats counted; `positions` the training
+    times of its copies and `position` the first of them, null where nothing is taken. A null or blank
     text has size 0 and takes nothing; null sources are one source, ranked last;
     a null or repeated id is a row like any other; other columns are not read. An empty
     table gives no rows. `slopes` turn like `weights`. Rows come sorted by position.
@@ -96,9 +96,27 @@ def mix_sources(
     before, wanted = F.col("start") + F.col("inner"), F.round("target").cast("long")
     passes = F.when(F.col("source_size") > 0, F.floor(wanted / F.col("source_size"))).otherwise(0).cast("long")
     rest = wanted - passes * F.col("source_size")
-    taken = passes * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - before))
-    middle = (2 * before + F.col("size")) / (2 * F.col("source_size"))
-    return placed.select(
-        "doc_id", "size", "source", "source_size", "target", taken.cast("long").alias("taken"),
-        F.when((taken > 0), schedule_time(middle, F.col("slope"))).alias("position"),
+    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - before)).cast("long")
+    # The words of each pass as one stream: the middle of each copy's words, as a share.
+    copies = (passes + (part > 0).cast("long")).cast("int")
+    length = lambda k: F.when(k < passes, F.col("size")).otherwise(part)
+    share = lambda k: (2 * (k * F.col("source_size") + before) + length(k)) / (2 * wanted)
+    times = F.transform(F.sequence(F.lit(0), copies - 1), lambda k: schedule_time(share(k), F.col("slope")))
+    used = (copies > 0) & (F.col("size") > 0)
+    chosen = placed.withColumn("positions", F.when(used, times).otherwise(F.array().cast("array<double>")))
+    return chosen.select(
+        "doc_id", "size", "source", "source_size", "target", (passes * F.col("size") + part).alias("taken"),
+        F.get("positions", F.lit(0)).alias("position"), "positions",
     ).orderBy("position", "doc_id")
+
+
+def in_order(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The documents the mix takes, one row per copy, range-sorted by training position.
+
+    Documents stay whole: the copy that the mix would cut is put out in full. Rows with
+    a null id are looked up like others; of rows that repeat an id each is put out.
+    """
+    plan = mixed.where(F.size("positions") > 0).select(F.col("doc_id").alias("_id"), F.col("positions").alias("_positions")).dropDuplicates(["_id"])
+    taken = docs.join(plan, docs[id_col].eqNullSafe(F.col("_id")))
+    placed = taken.select(*[docs[c] for c in docs.columns], F.explode("_positions").alias("_position"))
+    return placed.repartitionByRange("_position").sortWithinPartitions("_position", id_col).drop("_position")

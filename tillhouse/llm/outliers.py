@@ -210,8 +210,8 @@ def _nearest(rows: DataFrame, share: float) -> DataFrame:
     return binned.join(limits, "grp").where(F.col("bin") <= F.col("limit"))
 
 
-def fit(stats: DataFrame, min_rows: int = 50, share: float = 0.75, steps: int = 4, lang_col: str = "lang", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
-    """Group keys, and `grp, m, w, log_det` per group: its centre and inverse factor.
+def fit(stats: DataFrame, min_rows: int = 50, share: float = 0.75, steps: int = 4, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """`g_lang, g_source, m, w` per language and source: centre and inverse factor of its group.
 
     `stats` has `STATS`, language and source, and should be a written table. Only rows
     that pass the base limits are fitted. A group under `min_rows` after pooling is not
@@ -236,13 +236,17 @@ def fit(stats: DataFrame, min_rows: int = 50, share: float = 0.75, steps: int =
     for step in range(steps):
         near = _nearest(_distance(rows, shape), share)
         shape = cut(_shape_of(_moments(near), scale), f"outlier_shape_{step}")
-    return groups, shape
+    # Written, so that its size is known where it is joined with texts.
+    return cut(groups.join(shape, "grp", "left").select("g_lang", "g_source", "m", "w"), "outlier_fit")
 
 
-def judge(stats: DataFrame, groups: DataFrame, shape: DataFrame, tail: float = 1e-9, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The rows with `base_failed`, `distance` (null where not fitted) and `kept`."""
-    rows = stats.drop("grp", "base_failed", "distance", "kept")
-    known = groups.join(shape, "grp", "left").select("g_lang", "g_source", "m", "w")
+def judge(stats: DataFrame, known: DataFrame, tail: float = 1e-9, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """The rows with `base_failed`, `distance` (null where not fitted) and `kept`.
+
+    `stats` has `STATS`; `known` is what `fit` gave. Null languages and sources are groups
+    like others, rows may repeat, and columns of the names added are replaced.
+    """
+    rows = stats.drop("base_failed", "distance", "kept")
     same = F.col(lang_col).eqNullSafe(F.col("g_lang")) & F.col(source_col).eqNullSafe(F.col("g_source"))
     d2 = _squared_distance(_features())
     far = F.coalesce(d2 > chi2_quantile(P, tail), F.lit(False))

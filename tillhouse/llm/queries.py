@@ -54,7 +54,7 @@ def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     stats = cut(outliers.text_stats(docs).drop("text"), "text_stats")
-    judged = outliers.judge(stats, *outliers.fit(stats))
+    judged = outliers.judge(stats, outliers.fit(stats))
     return judged.select("doc_id", *outliers.BASE, "base_failed", "kept", "distance")
 
 
