@@ -29,14 +29,6 @@ def first_struct(fields: list[str], first: Column, second: Column) -> Column:
     return F.when(used, first).otherwise(second)
 
 
-def to_double(raw: Column) -> Column:
-    return raw.try_cast("double")
-
-
-def to_boolean(raw: Column) -> Column:
-    return raw.try_cast("boolean")
-
-
 def flag(value: Column) -> Column:
     """False when absent or null."""
     return F.coalesce(value, F.lit(False))

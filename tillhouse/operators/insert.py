@@ -14,11 +14,9 @@ from pyspark.sql import functions as F
 
 # A key is hot with more than one in SHARE of a batch's rows.
 SHARE = 1024
-# Below this number of rows a single task handles a key easily.
-HOT_ROWS = 500_000
 
 
-def hot_keys(staged: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(staged: DataFrame, keys: list[str], hot_rows: int = 0) -> DataFrame:
     """Keys with more than `hot_rows` and 1/SHARE of the rows: fewer than SHARE."""
     total = staged.agg(F.count(F.lit(1)).alias("n")).scalar()
     return (
@@ -30,14 +28,17 @@ def hot_keys(staged: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> Da
 
 
 def not_in_target(
-    staged: DataFrame, target: DataFrame, keys: list[str], hot_rows: int | None = HOT_ROWS
+    staged: DataFrame, target: DataFrame, keys: list[str], hot_rows: int | None = 0
 ) -> DataFrame:
     """Staged rows without a match in the target on all keys.
 
     Pass staged rows that are cheap to read again, such as a staged table: they
     are counted by key first. `hot_rows=None` says that no key repeats in them.
     """
-    known = target.select(*keys)
+    # Of the target only keys of the batch matter: the batch's distinct keys go to it,
+    # broadcast where they turn out small, before any key of the target is moved.
+    batch = staged.select(*keys).distinct()
+    known = target.select(*keys).join(batch, keys, "left_semi")
     if hot_rows is None:
         return staged.join(known.distinct(), keys, "left_anti").select(*staged.columns)
     hot = hot_keys(staged, keys, hot_rows)

@@ -40,11 +40,6 @@ def order_defect(orders_columns: list[str] = REQUIRED) -> Column:
     return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"missing {c}")) for c in orders_columns])
 
 
-def validate_orders(orders: DataFrame) -> DataFrame:
-    """Adds `reject_reason`, null for a valid order."""
-    return orders.withColumn("reject_reason", order_defect())
-
-
 def with_lineage(orders: DataFrame, data_source: str = "pos_api", loaded_at: Column | None = None) -> DataFrame:
     """Tags each order with its load time, restaurant and source."""
     return orders.withColumns(

@@ -27,12 +27,15 @@ def restaurants_of(tenants: DataFrame, tenant: str, restaurant_guid: str | None
     return tenants.where(F.col("tenant") == tenant).select("restaurant_guid")
 
 
-def in_restaurants(rows: DataFrame, restaurants: DataFrame) -> DataFrame:
+def in_restaurants(rows: DataFrame, restaurants: DataFrame, restaurant_guid: str | None = None) -> DataFrame:
     """Rows of the given restaurants.
 
-    A semi-join on the partition column lets Spark prune folders at run time. It
+    One restaurant is a plain filter, which prunes folders and moves nothing. For several, a
+    semi-join on the partition column lets Spark prune folders at run time. It
     is left to Spark whether the restaurant list is small enough to broadcast.
     """
+    if restaurant_guid and restaurant_guid != ALL:
+        return rows.where(F.col("restaurant_guid") == restaurant_guid)
     return rows.join(restaurants, "restaurant_guid", "left_semi")
 
 

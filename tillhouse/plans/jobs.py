@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -43,7 +43,7 @@ from tillhouse.schemas import (
 )
 from tillhouse.session import use_utc
 from tillhouse.sinks.warehouse import LoadResult, Warehouse
-from tillhouse.sources.envelope import broken_pages, documents, first_documents, menu_pages, parse_pages
+from tillhouse.sources.envelope import broken_pages, documents, first_documents, first_per_restaurant, menu_pages, parse_pages
 from tillhouse.sources.landing import read_pages
 from tillhouse.sources.tenants import dataset_of
 
@@ -113,6 +113,7 @@ class RunResult:
     find_rejects: Callable[[], DataFrame] = field(repr=False)
     count_restaurants: Callable[[], DataFrame] = field(repr=False)
     staged: DataFrame | None = field(default=None, repr=False)
+    inserted: DataFrame | None = field(default=None, repr=False)
 
     @property
     def rejects(self) -> DataFrame:
@@ -143,8 +144,10 @@ class Context:
 
     def __post_init__(self) -> None:
         use_utc(self.spark)
-        # One stamp per run; it also tells the rows of this run apart afterwards.
-        self.loaded_at = self.loaded_at or dt.datetime.now(dt.timezone.utc)
+
+    def at(self) -> Context:
+        """The same with one load stamp for all rows of a run."""
+        return replace(self, loaded_at=self.loaded_at or dt.datetime.now(dt.timezone.utc))
 
     @property
     def stamp(self) -> Column:
@@ -154,20 +157,20 @@ class Context:
     def store(self) -> Warehouse:
         return Warehouse(self.spark, self.warehouse, dataset_of(self.tenants, self.tenant))
 
-    def pages(self, endpoint: str, restaurants: DataFrame) -> DataFrame:
+    def pages(self, endpoint: str, restaurants: DataFrame, restaurant_guid: str | None = None) -> DataFrame:
         pages = read_pages(self.spark, self.landing, endpoint, self.one_per_line)
-        return in_restaurants(pages, restaurants)
+        return in_restaurants(pages, restaurants, restaurant_guid)
 
 
 def _load_fact(
-    ctx: Context, fact: Fact, restaurants: DataFrame, start: str, end: str, fail_batch: bool, dedup_batch: bool
-) -> tuple[dict, Callable[[], DataFrame], Callable[[], DataFrame], DataFrame]:
+    ctx: Context, fact: Fact, restaurants: DataFrame, restaurant_guid, start: str, end: str, fail_batch: bool, dedup_batch: bool
+) -> tuple[dict, Callable[[], DataFrame], Callable[[], DataFrame], DataFrame, DataFrame]:
     store, table = ctx.store, fact.table
-    pages = in_query_days(ctx.pages(fact.endpoint, restaurants), start, end)
+    pages = in_query_days(ctx.pages(fact.endpoint, restaurants, restaurant_guid), start, end)
     page_seen, doc_seen = Observation(), Observation()
     parsed = parse(fact, pages, page_seen, doc_seen)
     staged = store.stage(table.name, fact.flatten(parsed.valid, ctx.stamp))
-    checked = strict(staged) if fail_batch else staged
+    checked = store.stage(f"{table.name}_strict", strict(staged)) if fail_batch else staged
     load: LoadResult = store.insert_new(table, accepted(checked, table), dedup_batch)
     counts = checked.agg(
         F.count(F.lit(1)).alias("flattened"), F.count_if(F.col(REASON).isNotNull()).alias("rejected")
@@ -196,24 +199,23 @@ def _load_fact(
             ["restaurant_guid"],
             (parse_headers(fact, pages), {"fetched": every_row(), "documents_rejected": rejected_row()}),
             (checked, {"flattened": every_row(), "rejected": rejected_row()}),
-            (_loaded_by(ctx, table), {"loaded": every_row()}),
+            (load.inserted, {"loaded": every_row()}),
         ).select(F.lit(table.name).alias("table_name"), "*")
 
-    return result, rejects, by_restaurant, checked
-
-
-def _loaded_by(ctx: Context, table: Table) -> DataFrame:
-    """Rows of a fact that this run inserted."""
-    return ctx.store.read(table).where(F.col("_loaded_at") == ctx.stamp)
+    return result, rejects, by_restaurant, checked, load.inserted
 
 
 def _run_facts(ctx: Context, facts: list[Fact], restaurant_guid, start, end, fail_batch, dedup_batch) -> RunResult:
+    ctx = ctx.at()
     start, end = date_range(start, end)
     restaurants = restaurants_of(ctx.tenants, ctx.tenant, restaurant_guid)
     summary = {"start_date": start, "end_date": end, "restaurants_processed": restaurants.distinct().count(), "tables": {}}
-    rejects, counts, staged = [], [], []
+    rejects, counts, staged, inserted = [], [], [], []
     for fact in facts:
-        result, bad, by_restaurant, rows = _load_fact(ctx, fact, restaurants, start, end, fail_batch, dedup_batch)
+        result, bad, by_restaurant, rows, new = _load_fact(
+            ctx, fact, restaurants, restaurant_guid, start, end, fail_batch, dedup_batch
+        )
+        inserted.append(new.select(F.lit(fact.table.name).alias("table_name"), "restaurant_guid", "business_date"))
         summary["tables"][fact.table.name] = result
         rejects.append(bad)
         counts.append(by_restaurant)
@@ -225,6 +227,7 @@ def _run_facts(ctx: Context, facts: list[Fact], restaurant_guid, start, end, fai
         _together(rejects),
         _together(counts),
         reduce(DataFrame.unionByName, staged),
+        reduce(DataFrame.unionByName, inserted),
     )
 
 
@@ -247,18 +250,18 @@ def run_labor(ctx: Context, restaurant_guid=None, start=None, end=None, fail_bat
     return _run_facts(ctx, [TIME_ENTRIES], restaurant_guid, start, end, fail_batch, dedup_batch)
 
 
-def dimension_rows(ctx: Context, restaurants: DataFrame) -> list[tuple[Table, DataFrame, DataFrame]]:
+def dimension_rows(ctx: Context, restaurants: DataFrame, restaurant_guid: str | None = None) -> list[tuple[Table, DataFrame, DataFrame]]:
     """The four dimensions as (table, enforced rows, unreadable pages)."""
 
     def pages(endpoint: str) -> DataFrame:
-        return ctx.pages(endpoint, restaurants)
+        return ctx.pages(endpoint, restaurants, restaurant_guid)
 
     info = first_documents(pages("restaurants"), RESTAURANT_DOC)
     staff = parse_pages(pages("employees"), EMPLOYEE_DOC)
     roles = parse_pages(pages("jobs"), JOB_DOC)
     menus = menu_pages(pages("menus"))
     return [
-        (DIM_RESTAURANTS, flatten.restaurants(documents(info), ctx.stamp), broken_pages(info)),
+        (DIM_RESTAURANTS, flatten.restaurants(first_per_restaurant(documents(info)), ctx.stamp), broken_pages(info)),
         (DIM_EMPLOYEES, flatten.employees(documents(staff), ctx.stamp), broken_pages(staff)),
         (DIM_JOBS, flatten.jobs(documents(roles), ctx.stamp), broken_pages(roles)),
         (DIM_MENU_ITEMS, menu_items(menus, ctx.stamp), broken_pages(menus)),
@@ -267,10 +270,11 @@ def dimension_rows(ctx: Context, restaurants: DataFrame) -> list[tuple[Table, Da
 
 def run_dimensions(ctx: Context, restaurant_guid=None, mode: str = "full") -> RunResult:
     """Refreshes the four dimensions, each in full or only for the restaurants read."""
+    ctx = ctx.at()
     restaurants = restaurants_of(ctx.tenants, ctx.tenant, restaurant_guid)
     summary = {"restaurants_processed": restaurants.distinct().count(), "tables": {}}
     rejects, counts, n_rejected = [], [], 0
-    for table, rows, broken in dimension_rows(ctx, restaurants):
+    for table, rows, broken in dimension_rows(ctx, restaurants, restaurant_guid):
         staged = ctx.store.stage(table.name, rows)
         bad = [
             as_rejects(broken.select("value", "restaurant_guid", F.col("page_error").alias(REASON)), "page", table.name),
@@ -296,11 +300,6 @@ def run_dimensions(ctx: Context, restaurant_guid=None, mode: str = "full") -> Ru
 
 
 RUNS = {"orders": run_orders, "cash": run_cash, "labor": run_labor}
-_TABLES = {
-    "orders": [FACT_ORDER_ITEMS],
-    "cash": [FACT_CASH_ENTRIES, FACT_CASH_DEPOSITS],
-    "labor": [FACT_LABOR_SHIFTS],
-}
 
 
 @dataclass
@@ -326,15 +325,11 @@ def run_backfill(
     if dry_run:
         return Backfill(plan)
     run = RUNS[kind](ctx, restaurant_guid, start, end, **options)
-    loaded = reduce(
-        DataFrame.unionByName,
-        [_loaded_by(ctx, table).select("restaurant_guid", "business_date") for table in _TABLES[kind]],
-    )
     unit = ["restaurant_guid", "window_no"]
     by_window = tally(
         unit,
         (plan, {"planned": every_row()}),
         (with_window(run.staged, first, last), {"flattened": every_row()}),
-        (with_window(loaded, first, last), {"loaded": every_row()}),
+        (with_window(run.inserted, first, last), {"loaded": every_row()}),
     ).drop("planned")
     return Backfill(plan, run, by_window)

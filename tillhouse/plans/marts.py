@@ -29,7 +29,9 @@ def daily_sales(items: DataFrame, restaurants: DataFrame) -> DataFrame:
 def daily_tips(items: DataFrame) -> DataFrame:
     """Tips per restaurant and day.
 
-    A check's tip stands on each of its rows, so it is taken once per check.
+    A check's tip stands on each of its rows, so it is taken once per check. Tips count
+    also where lines are voided or deleted: the payment stands until the check itself
+    goes, and the loaded rows do not tell that.
     """
     checks = items.groupBy(*_DAY, "order_guid", "check_guid").agg(F.max("check_tip").alias("tip"))
     return checks.groupBy(*_DAY).agg(F.count(F.lit(1)).alias("checks"), F.sum("tip").alias("tips"))

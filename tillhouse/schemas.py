@@ -45,10 +45,6 @@ class Table:
         # Parquet reads come back nullable, so "required" is checked explicitly.
         return T.StructType([T.StructField(c, t, True) for c, t in self.types.items()])
 
-    @property
-    def partitioned(self) -> bool:
-        return "business_date" in self.columns
-
 
 # --- Fixed values: target columns, types, required columns and keys ---------
 
@@ -201,8 +197,6 @@ DIM_MENU_ITEMS = Table(
     """,
 )
 
-FACTS = {t.name: t for t in (FACT_ORDER_ITEMS, FACT_CASH_ENTRIES, FACT_CASH_DEPOSITS, FACT_LABOR_SHIFTS)}
-DIMENSIONS = {t.name: t for t in (DIM_RESTAURANTS, DIM_EMPLOYEES, DIM_JOBS, DIM_MENU_ITEMS)}
 
 # --- Fixed values: order fields that carry a timestamp, and a business day ---
 ORDER_TIMESTAMPS = [

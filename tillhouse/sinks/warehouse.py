@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.operators.insert import HOT_ROWS, not_in_target, one_per_key
+from tillhouse.operators.insert import not_in_target, one_per_key
 from tillhouse.schemas import Table
 
 
@@ -23,6 +23,7 @@ from tillhouse.schemas import Table
 class LoadResult:
     rows_staged: int
     rows_inserted: int
+    inserted: DataFrame | None = field(default=None, repr=False)
 
     @property
     def duplicates_skipped(self) -> int:
@@ -94,16 +95,21 @@ class Warehouse:
         return files.delete(staging, True)
 
     def insert_new(
-        self, table: Table, staged: DataFrame, dedup_batch: bool = False, hot_rows: int = HOT_ROWS
+        self, table: Table, staged: DataFrame, dedup_batch: bool = False, hot_rows: int = 0
     ) -> LoadResult:
-        """Appends the staged rows whose key is new. An empty batch changes nothing."""
+        """Appends the staged rows whose key is new. An empty batch changes nothing.
+
+        The new rows are staged too: what a run inserted is counted from them, not
+        searched for in the table.
+        """
         keys = list(table.key)
         n_staged = staged.count()
         if not n_staged:
-            return LoadResult(0, 0)
+            return LoadResult(0, 0, staged)
         batch = one_per_key(staged, keys) if dedup_batch else staged
         new = not_in_target(batch, self.read(table), keys, None if dedup_batch else hot_rows)
-        return LoadResult(n_staged, self.append(table, new))
+        inserted = self.stage(f"{table.name}_inserted", new)
+        return LoadResult(n_staged, self.append(table, inserted), inserted)
 
     # --- dimensions ----------------------------------------------------------
 

@@ -19,8 +19,13 @@ _CORRUPT = "_corrupt"
 UNFIT = "_unfit"
 
 
+def _clean(page: Column) -> Column:
+    """A page without the white space of JSON and a byte order mark around it."""
+    return F.btrim(page, F.lit(" \t\r\n\ufeff"))
+
+
 def _is_list(page: Column) -> Column:
-    return F.ltrim(page).startswith("[")
+    return _clean(page).startswith("[")
 
 
 def _is_text_able(kind: T.DataType) -> bool:
@@ -78,13 +83,12 @@ def parse_pages(pages: DataFrame, document: str) -> DataFrame:
     not fit is read again with numbers and flags as text, so that the values that do
     fit are kept and the others noted in `_unfit`. A page that is no JSON, or has a
     list or object where another kind belongs, is an error as a whole: none of its
-    documents is half read.
+    documents is half read. So is a page with nothing on it.
     """
     kind = T.StructType.fromDDL(document)
     options = {"columnNameOfCorruptRecord": _CORRUPT}
-    whole = F.when(_is_list(F.col("value")), F.concat(F.lit('{"data":'), F.col("value"), F.lit("}"))).otherwise(
-        F.col("value")
-    )
+    page = _clean(F.col("value"))
+    whole = F.when(_is_list(page), F.concat(F.lit('{"data":'), page, F.lit("}"))).otherwise(page)
     typed, text = F.col("_typed"), F.col("_text")
     parsed = pages.withColumn("_typed", F.from_json(whole, _page_of(_with_unfit(kind)), options)).withColumn(
         "_text", F.when(typed[_CORRUPT].isNotNull(), F.from_json(whole, _page_of(_as_text(kind)), options))
@@ -95,7 +99,7 @@ def parse_pages(pages: DataFrame, document: str) -> DataFrame:
     return parsed.select(
         *pages.columns,
         data.alias("data"),
-        F.when(text[_CORRUPT].isNotNull(), F.lit("unreadable page")).alias("page_error"),
+        F.when(text[_CORRUPT].isNotNull() | (page == ""), F.lit("unreadable page")).alias("page_error"),
     )
 
 
@@ -117,16 +121,22 @@ def first_documents(pages: DataFrame, document: str) -> DataFrame:
 
     An empty document counts as none.
     """
-    first = F.concat(F.lit("["), F.get_json_object("value", "$[0]"), F.lit("]"))
-    listed = F.when(_is_list(F.col("value")), F.coalesce(first, F.col("value"))).otherwise(
-        F.concat(F.lit("["), F.col("value"), F.lit("]"))
-    )
+    page = _clean(F.col("value"))
+    first = F.concat(F.lit("["), F.get_json_object(page, "$[0]"), F.lit("]"))
+    listed = F.when(_is_list(page), F.coalesce(first, page)).otherwise(F.concat(F.lit("["), page, F.lit("]")))
+    listed = F.when(page == "", page).otherwise(listed)
     empty = F.regexp_replace("value", r"\s", "") == "[{}]"
     one = pages.withColumn("value", listed).withColumn("value", F.when(empty, F.lit("[]")).otherwise(F.col("value")))
     parsed = parse_pages(one, document)
     return parsed.withColumn("data", F.filter(F.slice("data", 1, 1), lambda doc: doc.isNotNull()))
 
 
+def first_per_restaurant(docs: DataFrame) -> DataFrame:
+    """The document of each restaurant's first page, by file name."""
+    least = F.min_by(F.struct(*docs.columns), F.struct("source_file", F.to_json("doc")))
+    return docs.groupBy("restaurant_guid").agg(least.alias("first")).select("first.*")
+
+
 def menu_pages(pages: DataFrame) -> DataFrame:
     """Adds `menus`, the list of menus of a page as variants, and `page_error`.
 
@@ -134,7 +144,7 @@ def menu_pages(pages: DataFrame) -> DataFrame:
     `data`, else the object as the only menu; a key that is there decides, even
     when its value is null.
     """
-    read = pages.withColumn("_page", F.try_parse_json("value"))
+    read = pages.withColumn("_page", F.try_parse_json(_clean(F.col("value"))))
     page = F.col("_page")
     wrapped = F.coalesce(member(page, "menus", "variant"), member(page, "data", "variant"))
     menus = (
