@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.llm import curriculum, embedding_dedup, host_reputation, language_id, lm_scoring, minmax_dedup, outliers, pii, piece_bpe, substring_dedup
 from tillhouse.llm.common import cut, table
+from tillhouse.llm.oracle import ORACLE  # noqa: F401  read by the entry module
 
 
 def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
@@ -100,5 +101,3 @@ QUERIES = {
     "op9_pca_tiles": op9_pca_tiles,
     "op10_piece_bpe": op10_piece_bpe,
 }
-
-ORACLE: dict[str, str] = {}
