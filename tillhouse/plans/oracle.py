@@ -281,3 +281,44 @@ SELECT employee_guid, job_title, min(d) AS valid_from,
   CASE WHEN max(d) < DATE '2024-01-21' THEN max(d) + 7 END AS valid_to, max(d) = DATE '2024-01-21' AS is_current
 FROM numbered GROUP BY employee_guid, job_title, version""",
 }
+
+_EMPLOYEES = ORACLE["dim_employees"]
+# Keys of what a load of the years up to 1997 has put into the fact.
+_HALVES = (
+    "WITH "
+    + _LINES
+    + """,
+early AS MATERIALIZED (
+  SELECT DISTINCT l_orderkey, l_linenumber, k FROM rows WHERE row_reason IS NULL AND year(l_shipdate) <= 1997),
+seen AS MATERIALIZED (
+  SELECT *, (row_reason IS NULL AND year(l_shipdate) > 1997 AND NOT EXISTS (
+    SELECT 1 FROM early e WHERE e.l_orderkey = rows.l_orderkey AND e.l_linenumber = rows.l_linenumber AND e.k = rows.k))::INTEGER AS n
+  FROM rows)
+"""
+)
+ORACLE |= {
+    "dimension_refresh": f"""SELECT * FROM ({_EMPLOYEES}) e
+WHERE substr(restaurant_guid, 2)::INTEGER % 5 = 0 OR substr(employee_guid, 2)::INTEGER % 7 <> 0""",
+    "one_restaurant_scope": f"""SELECT * FROM ({_EMPLOYEES}) e
+WHERE restaurant_guid = 'R7' AND substr(employee_guid, 2)::INTEGER % 7 <> 0""",
+    "order_load": _HALVES
+    + """SELECT i.* FROM items i WHERE year(business_date) <= 1997 OR NOT EXISTS (
+  SELECT 1 FROM early e WHERE i.selection_guid = e.l_orderkey || '-' || e.l_linenumber || '-' || e.k)""",
+    "backfill_by_window": _HALVES
+    + """, plan AS (
+  SELECT DISTINCT restaurant_guid, w::INTEGER AS window_no
+  FROM (SELECT 'R' || s_suppkey AS restaurant_guid FROM supplier UNION SELECT 'R' || n_nationkey FROM nation) r,
+    unnest(range(0, date_diff('day', DATE '1995-01-01', DATE '2001-12-31') // 7 + 1)) AS t(w)),
+counted AS (
+  SELECT rest AS restaurant_guid, 1 AS f,
+    CASE WHEN l_partkey % 67 = 0 THEN NULL ELSE date_diff('day', DATE '1995-01-01', l_shipdate::DATE) // 7 END AS window_no,
+    n
+  FROM seen WHERE year(l_shipdate) <= 2001)
+SELECT restaurant_guid, window_no::INTEGER AS window_no, sum(f)::BIGINT AS flattened, sum(n)::BIGINT AS loaded
+FROM (SELECT restaurant_guid, f, window_no, n FROM counted UNION ALL SELECT restaurant_guid, 0, window_no, 0 FROM plan) u GROUP BY 1, 2""",
+    "load_by_restaurant": _HALVES
+    + """SELECT 'fact_order_items' AS table_name, rest AS restaurant_guid, sum(o)::BIGINT AS fetched, sum(d)::BIGINT AS documents_rejected,
+  sum(f)::BIGINT AS flattened, sum(r)::BIGINT AS rejected, sum(n)::BIGINT AS loaded
+FROM (SELECT rest, 1 AS o, CASE WHEN doc_reason IS NOT NULL THEN 1 ELSE 0 END AS d, 0 AS f, 0 AS r, 0 AS n FROM l UNION ALL
+      SELECT rest, 0, 0, 1, CASE WHEN row_reason IS NOT NULL THEN 1 ELSE 0 END, n FROM seen) c GROUP BY rest""",
+}
