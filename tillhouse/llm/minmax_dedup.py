@@ -31,6 +31,8 @@ from tillhouse.llm.rolling import mix, shingles
 #: similarity 0.8 shares a band with probability 1 - 5e-6, one at 0.5 with 0.47.
 PERMUTATIONS, ROWS = 120, 6
 BANDS = 2 * PERMUTATIONS // ROWS
+#: Places of a filter of ids, a power of two.
+FILTER = 1 << 21
 #: Classes of shingles in a profile, a power of two.
 CLASSES = 64
 _RNG = np.random.Generator(np.random.PCG64(7))
@@ -64,12 +66,14 @@ def bands(values: np.ndarray) -> np.ndarray:
     return keys
 
 
-def shingle_sets(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text", banded: bool = True) -> DataFrame:
+def shingle_sets(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text", banded: bool = True, only: np.ndarray | None = None) -> DataFrame:
     """`doc_id, n_shingles, set_hi, set_lo, shingles`, and `bands` or else `sketch`, of each whole text.
 
     `set_hi, set_lo` name the set. A null text, or one without words, has the empty set.
+    `only` is a filter of ids, see `_id_filter`.
     """
     ship(docs.sparkSession)
+    chosen = None if only is None else docs.sparkSession.sparkContext.broadcast(only)
     fields = "doc_id long, n_shingles long, set_hi long, set_lo long, shingles array<long>, " + ("bands array<long>" if banded else "sketch array<long>")
 
     def as_lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -80,6 +84,9 @@ def shingle_sets(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if chosen is not None:
+                at = _filter_place(batch.column(0).to_numpy())
+                batch = batch.filter(pa.array(chosen.value[at]))
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 sets = [shingles((t or "").encode(), size) for t in part.column(1).to_pylist()]
@@ -92,6 +99,28 @@ def shingle_sets(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: s
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(run, fields)
 
 
+def _filter_place(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64)) & np.uint64(FILTER - 1)).astype(np.int64)
+
+
+def _id_filter(ids: DataFrame) -> np.ndarray:
+    """Marks the places that the ids hash to, to spare most other texts from being moved.
+
+    Some more ids may pass, more of them the fuller it is: an exact join has to
+    follow. At most FILTER places come to the driver.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.zeros(FILTER, bool)
+        for batch in batches:
+            marks[_filter_place(batch.column(0).to_numpy())] = True
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(marks))], names=["place"])
+
+    out = np.zeros(FILTER, bool)
+    out[ids.mapInArrow(run, "place long").distinct().toArrow().column(0).to_numpy()] = True
+    return out
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The `a, b` pairs whose sets are as alike as `percent` asks, by exact counts."""
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s"))
@@ -172,9 +201,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     star = cut(star.select(F.least("center", "rep").alias("a"), F.greatest("center", "rep").alias("b")).distinct(), "star_pairs")
     # Whole sets of the documents in shared buckets only, from the texts once more.
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null").join(wanted, "doc_id", "left_semi")
-    sets = shingle_sets(texts, size, banded=False)
-    sets = cut(sets.select("doc_id", "shingles", "sketch").dropDuplicates(["doc_id"]), "sets")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
+    sets = shingle_sets(texts, size, banded=False, only=_id_filter(wanted)).select("doc_id", "shingles", "sketch")
+    sets = cut(sets.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "sets")
     links = cut(_confirmed(star, sets, percent), "star_links")
     found = components(links)
     # What a bucket still holds of different components is compared in full.
