@@ -316,16 +316,20 @@ def _trees(contexts: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[np.ndarray, np.ndarray, list[bytes]]] = []
-        held, last = 0, None
+        held, last, head = 0, None, (0, 0)
         for batch in batches:
             if not batch.num_rows:
                 continue
             key, doc, start = (batch.column(i).to_numpy() for i in range(3))
             new = np.concatenate([[key[0] != last], key[1:] != key[:-1]])
-            last = key[-1]
+            # The first row of each row's key, which may be in an earlier batch.
+            lead = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
+            lead_doc, lead_start = np.where(lead < 0, head[0], doc[lead]), np.where(lead < 0, head[1], start[lead])
+            last, head = key[-1], (lead_doc[-1], lead_start[-1])
             plain = batch.column(4).is_null().to_numpy(zero_copy_only=False)
-            # Stretches of grams with very many surroundings: all but the first of equal ones.
-            copies = np.flatnonzero(plain & ~new)
+            # Stretches of grams with very many surroundings: all but the first of equal
+            # ones. Two such grams in one stretch put it out twice.
+            copies = np.flatnonzero(plain & ((doc != lead_doc) | (start != lead_start)))
             if len(copies):
                 columns = (key[copies], np.full(len(copies), length), doc[copies], start[copies], np.zeros(len(copies), bool))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=fields)
