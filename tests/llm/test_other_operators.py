@@ -1,0 +1,201 @@
+"""URL filters, outliers, personal data, mixing, vectors, pieces, and the pipeline."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+import compare
+from tillhouse.llm.common import cut
+from tillhouse.llm import curriculum, embedding_dedup, host_reputation, outliers, pii, piece_bpe, queries
+
+SF = "/root/testdata/sf0.001"
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_sql(spark, name, monkeypatch):
+    monkeypatch.setattr(compare, "TABLES", [*compare.TABLES, "documents", "pages", "labels"])
+    assert compare.differences(queries.QUERIES[name](spark, SF), compare.connect(SF), queries.ORACLE[name]) is None
+
+
+# --- hosts ------------------------------------------------------------------------------
+
+
+def test_hosts(spark):
+    urls = [None, "", "no scheme", "http://", "https://A.Net", "https://a.net/x", "ftp://x.example.net/en/1?y#z", "http://EXAMPLE.com/de/", "u://org/fr/x", "http://bad.org/1", "http://new.bad.org/2", "u://xorg/fr/"]
+    pages = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate(urls)], "page_id long, url string, host string, verdict string")
+    outcomes = spark.createDataFrame([("bad.org", True)] * 40 + [("fine.com", False)] * 200 + [("bad.org", None), (None, True)], "host string, bad boolean")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in host_reputation.judge(pages, outcomes).collect()}
+    assert got[0] == got[1] == got[2] == ("", "", None, "allow") and got[4] == ("a.net", "", None, "allow")
+    assert got[5] == ("a.net", "/x", "net/", "block") and got[6] == ("x.example.net", "/en/1", "example.net/en/", "allow")
+    assert got[7] == ("example.com", "/de/", "example.com/de/", "block") and got[8][2] == "org/fr/" and got[11][2] is None
+    assert got[9][3] == "block" and got[10][3] == "allow"
+    assert {r.verdict for r in host_reputation.judge(pages.where("page_id in (9, 10)"), outcomes.where("false")).collect()} == {"allow"}
+    assert host_reputation.judge(pages.where("false"), outcomes).count() == 0
+
+
+def test_few_pages_are_shrunk(spark):
+    rows = [("a.x.com", True)] * 2 + [("b.x.com", False)] * 50 + [("c.y.org", True)] * 60
+    bounds = {r.host: r for r in host_reputation.reputations(spark.createDataFrame(rows, "host string, bad boolean")).collect()}
+    assert bounds["a.x.com"].posterior < 1 and bounds["a.x.com"].bound < bounds["c.y.org"].bound
+
+
+# --- outliers ---------------------------------------------------------------------------
+
+
+def test_base_statistics(spark, edges):
+    random.seed(4)
+    texts = [" ".join(random.choices("ab", k=random.randint(0, 60))) + random.choice(["", "\n#x\n#x", " <b>"]) for _ in range(150)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for frame in (rows, edges.where("doc_id is not null").dropDuplicates(["doc_id"])):
+        for r in outliers.text_stats(frame).collect():
+            assert tuple(r[c] for c in outliers.BASE) == brute.base_stats(r.text)
+
+
+def test_outliers(spark, edges, nothing):
+    random.seed(6)
+    clean = [(i, " ".join(f"w{random.randrange(4000)}" for _ in range(random.randint(40, 400))), "en", "web") for i in range(300)]
+    junk = [(1000 + i, " ".join(f"w{random.randrange(4000)}###" for _ in range(100)), "en", "web") for i in range(9)]
+    stats = cut(outliers.text_stats(spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string")), "t")
+    kept = {r.doc_id: r.kept for r in outliers.judge(stats, outliers.fit(stats)).collect()}
+    assert not any(kept[i] for i, *_ in junk) and sum(kept[i] for i, *_ in clean) == len(clean)
+    odd = cut(outliers.text_stats(edges), "t")
+    rows = outliers.judge(odd, outliers.fit(odd)).collect()
+    assert len(rows) == edges.count() and all(r.kept == (not r.base_failed) for r in rows)
+    none = cut(outliers.text_stats(nothing), "t")
+    assert outliers.judge(none, outliers.fit(none)).count() == 0
+
+
+def test_chi_square():
+    assert outliers.chi2_cdf(5, 11.0705) == pytest.approx(0.95, abs=1e-5)
+    assert outliers.chi2_quantile(7, 0.05) == pytest.approx(14.0671, abs=1e-3)
+
+
+# --- personal data ------------------------------------------------------------------------
+
+
+def test_base_spans(spark, edges):
+    random.seed(3)
+    alphabet = list("aZ09..@@++--  ()%_é😀\n 1 2 4111 1111 1111 1111 192.168.1.1 ")
+    texts = ["".join(random.choices(alphabet, k=random.randint(0, 80))) for _ in range(800)]
+    texts += [*brute.EDGES, "a@b.c " * 600, "1 " * 300 + "4111-1111-1111-1111", "9" * 50_000, "1.2.3.4.5.6.7.8", "1 2 3 4 " * 3000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = pii.base_spans(rows).withColumn("clean", pii.redact(F.col("text"), F.col("base")))
+    for r in found.collect():
+        wanted = brute.base_spans(r.text)
+        assert [tuple(s) for s in r.base] == wanted
+        if wanted and all(b[0] >= a[2] for a, b in zip(wanted, wanted[1:])):
+            out, at = "", 0
+            for start, order, end in wanted:
+                out, at = out + r.text[at:start] + f"[{pii.KINDS[order].upper()}]", end
+            assert r.clean == out + r.text[at:]
+
+
+def test_added_spans(spark, edges, nothing):
+    """Numbers announced and shaped like the proven ones are added; others are not."""
+    rows = [(i, f"please call: +1 555 0{i % 10}0 {1000 + i} now") for i in range(200)]
+    rows += [(500 + i, f"please call: +1 555 0{i}0 {1000 + i} 12345678 now") for i in range(3)]
+    found = pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(set(map(tuple, r.base)) <= set(map(tuple, r.spans)) for r in found)
+    assert pii.detect(edges).count() == edges.count() and pii.detect(nothing).count() == 0
+
+
+def test_boosting():
+    counts = [(c, 50, 45 if c & 1 else 5 if c & 2 else 0) for c in range(16)]
+    trees = pii.boost(counts)
+    threshold = pii.calibrate(trees, counts, 0.85)
+    passing = {c for c, *_ in counts if sum(pii._value(t, c) for t in trees) >= threshold}
+    assert passing == {c for c in range(16) if c & 1}
+
+
+# --- mixing -----------------------------------------------------------------------------------
+
+
+def test_schedule_is_inverted(spark):
+    rows = spark.createDataFrame([(u / 20, s) for u in range(21) for s in (-1.0, -0.5, 0.0, 0.7, 1.0)], "u double, s double")
+    for r in rows.withColumn("t", curriculum.schedule_time(F.col("u"), F.col("s"))).collect():
+        assert r.t + r.s * (r.t * r.t - r.t) == pytest.approx(r.u, abs=1e-9)
+
+
+def test_mix(spark, edges, nothing):
+    rows = curriculum.mix_sources(spark.read.parquet(f"{SF}/documents.parquet")).collect()
+    taken: dict = {}
+    for r in rows:
+        assert 0 <= r.taken <= 2 * r.size and (r.position is None) == (r.taken == 0)
+        taken.setdefault((r.source, r.source_size, r.target), []).append(r.taken)
+    assert all(abs(sum(v) - target) <= 0.5 and target <= 2 * size for (_, size, target), v in taken.items())
+    assert sum(t for _, _, t in taken) == pytest.approx(1.5 * sum(s for _, s, _ in taken))
+    odd = curriculum.mix_sources(edges).collect()
+    assert len(odd) == edges.count() and all(r.taken == 0 for r in odd if r.size == 0)
+    assert curriculum.mix_sources(nothing).count() == 0
+    placed = curriculum.in_order(edges, curriculum.mix_sources(edges))
+    assert placed.columns == edges.columns and placed.count() >= 1
+
+
+# --- vectors -----------------------------------------------------------------------------------
+
+
+def test_vectors(spark):
+    rng = np.random.default_rng(1)
+    centers = rng.normal(size=(6, 12))
+    vectors = [(centers[i % 6] + rng.normal(size=12) * 0.2).tolist() for i in range(150)] + rng.normal(size=(60, 12)).tolist()
+    vectors += [vectors[0], [2 * x for x in vectors[0]], [0.0] * 12, None, [float("nan")] * 12, [None] * 12, [1.0], []]
+    rows = spark.createDataFrame([(i, v, 0) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, weight int")
+    good = {i: np.array(v) / np.linalg.norm(v) for i, v in enumerate(vectors) if v and len(v) == 12 and None not in v and np.isfinite(v).all() and any(v)}
+    linked = [(a, b) for a in good for b in good if a < b and good[a] @ good[b] >= 0.95]
+    wanted = brute.roots(range(len(vectors)), linked)
+    degree = {i: sum(i in pair for pair in linked) for i in wanted}
+    found = embedding_dedup.near_duplicates(rows).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in found} == {i: (degree[i], c, c == i) for i, c in wanted.items()}
+    assert embedding_dedup.near_duplicates(rows.where("false")).count() == 0
+
+
+# --- pieces --------------------------------------------------------------------------------------
+
+
+def test_pieces():
+    with open(MODEL, "rb") as file:
+        encoder = piece_bpe.PieceEncoder(file.read())
+    random.seed(1)
+    alphabet = list(" ▁  ab\n\t\r.,the😀é́\x00<>/s한글ß")
+    texts = ["".join(random.choices(alphabet, k=random.randint(0, 120))) for _ in range(1500)] + [" " * 300, "a" * 5000, "▁"]
+    found = encoder.encode(texts)
+    encoder.check(texts, found)
+    with pytest.raises(ValueError):
+        encoder.check(["other"], [found[0]])
+    for unit in ("▁thethe", "▁", "ab한" * 9):
+        assert encoder.merge_rows([unit]) == [encoder.merge_by_heap(unit)]
+
+
+def test_round_trip(spark, edges, nothing):
+    rows = piece_bpe.decode(piece_bpe.encode(edges.withColumn("ids", F.lit(1)), MODEL), MODEL).collect()
+    assert len(rows) == edges.count() and all(r.decoded == (r.text or "") for r in rows)
+    assert [r.ids for r in rows if not r.text] == [[]] * 2
+    assert piece_bpe.decode(piece_bpe.encode(nothing, MODEL), MODEL).count() == 0
+
+
+# --- pipeline ----------------------------------------------------------------------------------------
+
+
+def test_pipeline(spark):
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    seen = [docs]
+    for _, stage in pipeline.STAGES:
+        seen.append(stage(spark, seen[-1], SF).cache())
+    assert all(frame.columns == docs.columns for frame in seen[:-1])
+    raw, ruled, single, clean, mixed, pieces = [frame.collect() for frame in seen]
+    stats = cut(outliers.text_stats(docs), "t")
+    kept = {r.doc_id for r in outliers.judge(stats, outliers.fit(stats)).collect() if r.kept}
+    assert {r.doc_id for r in ruled} == kept
+    sets = {r.doc_id: brute.shingle_set(r.text, 5) for r in ruled}
+    linked = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert {r.doc_id for r in single} == set(brute.roots(sets, linked).values())
+    assert len(clean) == len(single) and not any(brute.base_spans(r.text) for r in clean)
+    assert {r.doc_id for r in mixed} <= {r.doc_id for r in clean}
+    assert len(pieces) == len(mixed) and all(r.round_trip for r in pieces)
