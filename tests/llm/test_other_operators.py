@@ -70,6 +70,23 @@ def test_outliers(spark, edges, nothing):
     assert outliers.judge(none, outliers.fit(none)).count() == 0
 
 
+def test_planted_junk(spark):
+    """Symbols in a third of the characters and repeated lines go; plain texts, tables and a line or two said again stay."""
+    random.seed(8)
+    word = lambda: f"w{random.randrange(4000)}"
+    lines = lambda n: [" ".join(word() for _ in range(7)) for _ in range(n)]
+    clean = ["\n".join(lines(random.randint(6, 60))) for _ in range(400)]
+    clean += ["\n".join([*(own := lines(30)), own[3]]) for _ in range(8)]
+    clean += [" | ".join(f"{word()} {word()}" for _ in range(60)) for _ in range(8)]
+    junk = [" ".join(word() + "".join(random.choices("#$%*&", k=2 + i % 2)) for _ in range(90)) for i in range(20)]
+    junk += ["\n".join([*(own := lines(20)), *(y for x in own[: 12 + i] for y in (lines(1)[0], x))]) for i in range(8)]
+    rows = [(i, t, "en", "web") for i, t in enumerate(clean + junk)]
+    stats = cut(outliers.text_stats(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")), "t")
+    judged = {r.doc_id: r for r in outliers.judge(stats, outliers.fit(stats)).collect()}
+    assert all(judged[i].kept for i in range(len(clean)))
+    assert not any(judged[i].kept or judged[i].base_failed for i in range(len(clean), len(rows)))
+
+
 def test_chi_square():
     assert outliers.chi2_cdf(5, 11.0705) == pytest.approx(0.95, abs=1e-5)
     assert outliers.chi2_quantile(7, 0.05) == pytest.approx(14.0671, abs=1e-3)

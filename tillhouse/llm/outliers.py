@@ -3,8 +3,9 @@
 Each text becomes a few statistics, each language and source a centre and a covariance
 fitted by minimum covariance determinant: from a robust start, concentration steps keep
 the three quarters of the documents that are nearest and fit again, which never raises
-the determinant. A text is rejected when its Mahalanobis distance is beyond all that
-a normal population would show. Plain limits reject a few texts before that.
+the determinant. A last step fits all that are within the usual distance of that.
+A text is rejected when its Mahalanobis distance is beyond what one in ten thousand of a
+normal population would show. Plain limits reject a few texts before that.
 
 All of it is DataFrame expressions; per step, rows are reduced to sums and to a
 histogram of distances per group before anything is shuffled, so a group may be of any size.
@@ -25,9 +26,12 @@ STATS = [*BASE, "n_lines"]
 #: Transformed statistics are kept as whole thousandths: sums over them are exact, so
 #: the fit does not depend on the order of rows.
 UNIT = 1000.0
-#: Spread that a statistic has at least. Most texts have no symbol or repeated line at
-#: all, and without it the first one would be infinitely far out.
-FLOORS = (0.5, 0.1, 0.1, 0.2, 0.2)
+#: Spread that a statistic has at least, given those before it. Most texts have no symbol or
+#: repeated line at all, and without it the first one would be infinitely far out. The
+#: last three lie between 0 and 1: alone, a quarter of symbols or a sixth of repeated lines is too far.
+FLOORS = (0.25, 0.1, 0.1, 0.08, 0.08)
+#: Tail of the normal population that the last step of the fit leaves out.
+TRIM = 0.025
 P = len(FLOORS)
 BINS_PER_DOUBLING = 32
 
@@ -161,17 +165,17 @@ def _distance(rows: DataFrame, shape: DataFrame) -> DataFrame:
 
 
 def _shape_of(moments: DataFrame, scale: float) -> DataFrame:
-    """`grp, m, w, log_det` from counts and sums, with the floors on the diagonal."""
+    """`grp, m, w, log_det` from counts and sums, with the floors below the conditional spreads."""
     n = F.col("n").cast("double")
     mean = [F.col(f"s{i}").cast("double") / n / UNIT for i in range(P)]
     rows = moments.select("grp", F.array(*mean).alias("m"), *[
-        (scale * (F.col(f"s{i}_{j}").cast("double") / n / UNIT / UNIT - mean[i] * mean[j]) + (FLOORS[i] ** 2 if i == j else 0.0)).alias(f"c{i}_{j}")
+        (scale * (F.col(f"s{i}_{j}").cast("double") / n / UNIT / UNIT - mean[i] * mean[j])).alias(f"c{i}_{j}")
         for i in range(P) for j in range(i + 1)
     ])
     c = lambda kind, i, j: F.col(f"{kind}{i}_{j}")
     for j in range(P):  # Cholesky factor, column by column
         left = c("c", j, j) - sum((c("l", j, k) * c("l", j, k) for k in range(j)), F.lit(0.0))
-        rows = rows.withColumn(f"l{j}_{j}", F.sqrt(F.greatest(left, F.lit(FLOORS[j] ** 2 / 1e6))))
+        rows = rows.withColumn(f"l{j}_{j}", F.sqrt(F.greatest(left, F.lit(FLOORS[j] ** 2))))
         for i in range(j + 1, P):
             dot = sum((c("l", i, k) * c("l", j, k) for k in range(j)), F.lit(0.0))
             rows = rows.withColumn(f"l{i}_{j}", (c("c", i, j) - dot) / c("l", j, j))
@@ -236,11 +240,15 @@ def fit(stats: DataFrame, min_rows: int = 50, share: float = 0.75, steps: int =
     for step in range(steps):
         near = _nearest(_distance(rows, shape), share)
         shape = cut(_shape_of(_moments(near), scale), f"outlier_shape_{step}")
+    # Reweighting: all rows within the usual distance count, not the nearest part only.
+    usual = chi2_quantile(P, TRIM)
+    within = _distance(rows, shape).where(F.col("d2") <= usual)
+    shape = cut(_shape_of(_moments(within), (1 - TRIM) / chi2_cdf(P + 2, usual)), "outlier_shape_last")
     # Written, so that its size is known where it is joined with texts.
     return cut(groups.join(shape, "grp", "left").select("g_lang", "g_source", "m", "w"), "outlier_fit")
 
 
-def judge(stats: DataFrame, known: DataFrame, tail: float = 1e-9, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+def judge(stats: DataFrame, known: DataFrame, tail: float = 1e-4, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """The rows with `base_failed`, `distance` (null where not fitted) and `kept`.
 
     `stats` has `STATS`; `known` is what `fit` gave. Null languages and sources are groups
