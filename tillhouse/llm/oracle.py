@@ -74,4 +74,13 @@ SELECT doc_id, size, source_size, target, (passes * size + part)::BIGINT AS take
   CASE WHEN share <= 0 THEN 0.0::DOUBLE
     ELSE 2 * share / ((1 - slope) + sqrt(greatest((1 - slope) * (1 - slope) + 4 * slope * share, 0.0))) END AS position
 FROM y""",
+    "op13_line_dedup": f"""
+WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+x AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM l),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key FROM x),
+s AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+d AS (SELECT k.doc_id, line, pos, s.first IS NOT NULL AND k.doc_id > s.first AS gone FROM k LEFT JOIN s ON s.key = k.key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM d GROUP BY doc_id""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import curriculum, embedding_dedup, host_reputation, language_id, lm_scoring, minmax_dedup, outliers, pii, piece_bpe, substring_dedup
+from tillhouse.llm import curriculum, embedding_dedup, host_reputation, language_id, line_dedup, lm_scoring, minmax_dedup, outliers, pii, piece_bpe, substring_dedup
 from tillhouse.llm.common import cut, table
 from tillhouse.llm.oracle import ORACLE  # noqa: F401  read by the entry module
 
@@ -89,6 +89,11 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_cross_entropy_difference": op1_cross_entropy_difference,
     "op2_interval_trees": op2_interval_trees,
@@ -100,4 +105,5 @@ QUERIES = {
     "op8_curriculum_mix": op8_curriculum_mix,
     "op9_pca_tiles": op9_pca_tiles,
     "op10_piece_bpe": op10_piece_bpe,
+    "op13_line_dedup": op13_line_dedup,
 }
