@@ -35,9 +35,9 @@ def _row(text: Column) -> Column:
 def line_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
     """`id, row, pos, a, b` of every line whose key has at least `min_chars` code points."""
     text = F.col(text_col)
-    lines = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"), _row(text).alias("row"), F.posexplode(lines_of(to_lower_ascii(text))).alias("pos", "line")
-    )
+    # The row's hash is taken below the generator, once for all lines of a text.
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), _row(text).alias("row"), text.alias("text"))
+    lines = rows.select("id", "row", F.posexplode(lines_of(to_lower_ascii(F.col("text")))).alias("pos", "line"))
     key = F.btrim(F.col("line"), F.lit(BLANKS))
     kept = lines.where(F.char_length(key) >= min_chars)
     return kept.select("id", "row", "pos", F.xxhash64(key).alias("a"), F.xxhash64(F.lit(1), key).alias("b"))
@@ -64,15 +64,14 @@ def dropped_lines(lines: DataFrame, shared: DataFrame, n_lines: int) -> DataFram
     return of_hot.unionByName(of_cold).where(F.col("id") > F.col("first")).select("id", "row", "pos")
 
 
-def without(lines: Column, gone: Column) -> Column:
-    """The lines except those at the positions `gone` (sorted), as slices between them."""
-    ends = F.concat(gone, F.array(F.size(lines)))
+def marks(gone: Column) -> Column:
+    """True at each of the sorted positions `gone` and false between them, up to the last."""
 
-    def between(end: Column, i: Column) -> Column:
+    def up_to(at: Column, i: Column) -> Column:
         before = F.when(i == 0, F.lit(-1)).otherwise(F.get(gone, i - 1))
-        return F.slice(lines, before + 2, end - before - 1)
+        return F.concat(F.array_repeat(F.lit(False), at - before - 1), F.array(F.lit(True)))
 
-    return F.flatten(F.transform(ends, between))
+    return F.flatten(F.transform(gone, up_to))
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, min_docs: int = 2) -> DataFrame:
@@ -90,11 +89,14 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     gone = dropped.groupBy("id", "row").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
     gone = gone.select(*[F.col(c).alias(f"_line_{c}") for c in gone.columns])
     same = (F.col(id_col) == F.col("_line_id")) & (_row(F.col(text_col)) == F.col("_line_row"))
-    found = rows.join(gone, same, "left").withColumn("_line_all", lines_of(F.col(text_col)))
-    left = F.array_join(without(F.col("_line_all"), F.col("_line_gone")), "\n")
+    # Nothing outside of its elements is named in a lambda: it would be worked out for each of them.
+    pairs = F.arrays_zip(lines_of(F.col(text_col)).alias("line"), marks(F.col("_line_gone")).alias("gone"))
+    found = rows.join(gone, same, "left").withColumn("_line_pairs", pairs)
+    stays = F.filter("_line_pairs", lambda p: ~F.coalesce(p["gone"], F.lit(False)))
+    left = F.array_join(F.transform(stays, lambda p: p["line"]), "\n")
     return found.select(
         *rows.columns,
-        F.size("_line_all").cast("long").alias("n_lines"),
+        F.size(lines_of(F.col(text_col))).cast("long").alias("n_lines"),
         F.coalesce(F.size("_line_gone"), F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("_line_gone").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(left).alias("kept"),
     )
