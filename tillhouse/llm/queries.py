@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import curriculum, embedding_dedup, host_reputation, language_id, line_dedup, lm_scoring, minmax_dedup, outliers, pii, piece_bpe, substring_dedup
+from tillhouse.llm import curriculum, embedding_dedup, host_reputation, language_id, line_dedup, lm_scoring, minmax_dedup, outliers, periodic_runs, pii, piece_bpe, substring_dedup, whitening
 from tillhouse.llm.common import cut, table
 from tillhouse.llm.oracle import ORACLE  # noqa: F401  read by the entry module
 
@@ -89,6 +89,24 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_jacobi_davidson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_rows(table(spark, sf_dir, "embeddings"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", periodic_runs.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    # Bound below the Python step, so that its result is not worked out for each mention.
+    found = periodic_runs.find_runs(docs).select("doc_id", "runs", "collapsed", periodic_runs.strongest(F.col("runs")).alias("best"))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -105,5 +123,7 @@ QUERIES = {
     "op8_curriculum_mix": op8_curriculum_mix,
     "op9_pca_tiles": op9_pca_tiles,
     "op10_piece_bpe": op10_piece_bpe,
+    "op11_jacobi_davidson": op11_jacobi_davidson,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_line_dedup": op13_line_dedup,
 }
