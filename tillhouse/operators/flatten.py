@@ -3,6 +3,9 @@
 Every function is a chain of narrow steps over `doc` rows (or normalised orders),
 with the page's `restaurant_guid`; it returns the target columns and a
 `reject_reason`. Rows without a key are left out, as are voided selections.
+
+Documents that `outcomes.tag` has marked keep what became of each: their rows come with
+`outcomes.COLUMNS`, and so do the documents and pages that gave none.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from tillhouse.functions.values import (
     to_day,
 )
 from tillhouse.operators.enforce import enforce, keyed
+from tillhouse.operators.outcomes import is_tagged, passing, settle, sound
 from tillhouse.schemas import (
     DIM_EMPLOYEES,
     DIM_JOBS,
@@ -43,7 +47,10 @@ def _rows(docs: DataFrame, table: Table, loaded_at: Column | None, **columns: Co
     """Target columns of one-row-per-document tables, keyed and enforced."""
     columns = {"restaurant_guid": F.col("restaurant_guid"), "_loaded_at": load_stamp(loaded_at), **columns}
     unfit = F.col("doc")[UNFIT] if UNFIT in docs.schema["doc"].dataType.names else F.lit(None).cast("string")
-    flat = docs.select(*[columns[name].alias(name) for name in table.columns], unfit.alias(UNFIT))
+    values = [columns[name].alias(name) for name in table.columns]
+    if is_tagged(docs):
+        return settle(docs.select(*values, unfit.alias(UNFIT), *passing(docs)), table, [F.col(UNFIT)])
+    flat = docs.select(*values, unfit.alias(UNFIT))
     return enforce(keyed(flat, *table.key), table, defects=[F.col(UNFIT)])
 
 
@@ -58,7 +65,13 @@ def order_checks(orders: DataFrame) -> DataFrame:
     day = to_day(F.col("businessDate"))
     bad_day = F.when(F.col("businessDate").isNotNull() & day.isNull(), F.lit("bad businessDate"))
     defects = F.concat_ws(", ", bad_day, F.col(UNFIT), check[UNFIT], F.nullif(bad_tips, F.lit("")))
-    return orders.select("*", F.explode("checks").alias("check")).select(
+    if is_tagged(orders):
+        exploded = orders.select("*", F.posexplode_outer(F.when(sound(), F.col("checks"))).alias("check_no", "check"))
+        place = [*passing(orders), "check_no"]
+    else:
+        exploded, place = orders.select("*", F.explode("checks").alias("check")), []
+    return exploded.select(
+        *place,
         "restaurant_guid",
         F.col("guid").alias("order_guid"),
         day.alias("business_date"),
@@ -80,8 +93,14 @@ def order_items(orders: DataFrame, loaded_at: Column | None = None) -> DataFrame
     checks = order_checks(orders)
     parents = [c for c in checks.columns if c != "selections"]
     line = F.col("line")
-    kept = checks.select(*parents, F.explode("selections").alias("line")).where(~flag(line["voided"]))
+    tagged = is_tagged(orders)
+    if tagged:
+        kept = checks.select(*parents, F.posexplode_outer("selections").alias("line_no", "line"))
+        parents.append("line_no")
+    else:
+        kept = checks.select(*parents, F.explode("selections").alias("line")).where(~flag(line["voided"]))
     flat = kept.select(
+        *([flag(line["voided"]).alias("line_voided")] if tagged else []),
         *parents,
         line["guid"].alias("selection_guid"),
         first_text(line["itemGuid"], line["item"]["guid"]).alias("menu_item_guid"),
@@ -96,6 +115,9 @@ def order_items(orders: DataFrame, loaded_at: Column | None = None) -> DataFrame
         load_stamp(loaded_at).alias("_loaded_at"),
     )
     defects = [F.col("defects"), F.col(UNFIT)]
+    if tagged:
+        first = (F.coalesce("check_no", F.lit(0)) == 0) & (F.coalesce("line_no", F.lit(0)) == 0)
+        return settle(flat, FACT_ORDER_ITEMS, defects, first, F.col("line_no").isNotNull() & ~F.col("line_voided"))
     return enforce(keyed(flat, *FACT_ORDER_ITEMS.key), FACT_ORDER_ITEMS, defects=defects)
 
 

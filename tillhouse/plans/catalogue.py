@@ -23,7 +23,7 @@ from tillhouse.operators.insert import load_metrics, not_in_target, one_per_key
 from tillhouse.operators.menus import menu_items
 from tillhouse.operators.orders import with_lineage
 from tillhouse.operators.scope import in_instants, in_restaurants, restaurants_of
-from tillhouse.operators.summaries import every_row, reject_summary, rejected_row, tally
+from tillhouse.operators.summaries import reject_summary, rejected_row, tally
 from tillhouse.operators.windows import backfill_plan, with_window
 from tillhouse.plans import jobs, marts, testdata
 from tillhouse.schemas import (
@@ -219,24 +219,19 @@ def schema_enforce(spark, sf_dir):
 @query("reject_summary")
 def rejects_by_reason(spark, sf_dir):
     """Rejected documents and rows by reason."""
-    pages = _line_pages(spark, sf_dir)
-    documents_rejected = rejected(jobs.parse_headers(jobs.ORDERS, pages))
-    rows_rejected = rejected(flatten.order_items(jobs.parse(jobs.ORDERS, pages).valid))
-    return reject_summary(documents_rejected.select(REASON).unionByName(rows_rejected.select(REASON)))
+    return reject_summary(rejected(jobs.outcomes(jobs.ORDERS, _line_pages(spark, sf_dir))))
 
 
 @query("run_summary")
 def run_summary(spark, sf_dir):
     """Documents and rows per restaurant."""
-    pages = _line_pages(spark, sf_dir)
-    return tally(
-        ["restaurant_guid"],
-        (jobs.parse_headers(jobs.ORDERS, pages), {"orders_fetched": every_row()}),
-        (
-            flatten.order_items(jobs.parse(jobs.ORDERS, pages).valid),
-            {"items_flattened": every_row(), "items_rejected": rejected_row()},
-        ),
-    )
+    is_row = F.col("stage") == "row"
+    counted = {
+        "orders_fetched": F.col("n_documents") == 1,
+        "items_flattened": is_row,
+        "items_rejected": is_row & rejected_row(),
+    }
+    return tally(["restaurant_guid"], (jobs.outcomes(jobs.ORDERS, _line_pages(spark, sf_dir)), counted))
 
 
 # --- cash, labor, dimensions ----------------------------------------------------

@@ -8,19 +8,22 @@ that table.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse.operators import flatten
-from tillhouse.operators.enforce import REASON, accepted, rejected, strict
-from tillhouse.operators.menus import menu_items
+from tillhouse.operators.enforce import REASON, accepted, strict
+from tillhouse.operators.menus import menu_outcomes
 from tillhouse.operators.orders import normalise_orders, order_defect
+from tillhouse.operators.outcomes import counts, rows_of, set_aside, tag
 from tillhouse.operators.scope import date_range, in_query_days, in_restaurants, restaurants_of
-from tillhouse.operators.summaries import as_rejects, every_row, rejected_row, tally
+from tillhouse.operators.summaries import every_row, rejected_row, tally
 from tillhouse.operators.windows import backfill_plan, with_window
 from tillhouse.schemas import (
     CASH_DEPOSIT_DOC,
@@ -35,6 +38,7 @@ from tillhouse.schemas import (
     FACT_LABOR_SHIFTS,
     FACT_ORDER_ITEMS,
     JOB_DOC,
+    LOAD_UNITS,
     ORDER_DOC,
     ORDER_HEADER_DOC,
     RESTAURANT_DOC,
@@ -42,8 +46,8 @@ from tillhouse.schemas import (
     Table,
 )
 from tillhouse.session import use_utc
-from tillhouse.sinks.warehouse import LoadResult, Warehouse
-from tillhouse.sources.envelope import broken_pages, documents, first_documents, first_per_restaurant, menu_pages, parse_pages
+from tillhouse.sinks.warehouse import LoadResult, Warehouse, Written
+from tillhouse.sources.envelope import documents, documents_and_pages, first_documents, first_per_restaurant, menu_pages, parse_pages
 from tillhouse.sources.landing import read_pages
 from tillhouse.sources.tenants import dataset_of
 
@@ -86,17 +90,17 @@ class Parsed:
         return self.docs.where(F.col(REASON).isNotNull())
 
 
-def parse(fact: Fact, pages: DataFrame, page_seen: Observation | None = None, doc_seen: Observation | None = None) -> Parsed:
+def parse(fact: Fact, pages: DataFrame) -> Parsed:
     """Pages to documents, with a reason on those that miss a required field."""
     parsed = parse_pages(pages, fact.document)
-    if page_seen is not None:
-        parsed = parsed.observe(page_seen, F.count_if(F.col("page_error").isNotNull()).alias("broken"))
-    docs = fact.prepare(documents(parsed)).withColumn(REASON, fact.defect())
-    if doc_seen is not None:
-        docs = docs.observe(
-            doc_seen, F.count(F.lit(1)).alias("fetched"), F.count_if(F.col(REASON).isNotNull()).alias("invalid")
-        )
-    return Parsed(parsed, docs)
+    return Parsed(parsed, fact.prepare(documents(parsed)).withColumn(REASON, fact.defect()))
+
+
+def outcomes(fact: Fact, pages: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+    """Rows, documents and pages of a fact with what became of them, from one parse."""
+    listed = documents_and_pages(parse_pages(pages, fact.document))
+    docs = fact.prepare(listed).withColumn(REASON, fact.defect())
+    return fact.flatten(tag(docs, T.StructType.fromDDL(fact.header).names), loaded_at)
 
 
 def parse_headers(fact: Fact, pages: DataFrame) -> DataFrame:
@@ -114,6 +118,11 @@ class RunResult:
     count_restaurants: Callable[[], DataFrame] = field(repr=False)
     staged: DataFrame | None = field(default=None, repr=False)
     inserted: DataFrame | None = field(default=None, repr=False)
+    drop: Callable[[], bool] = field(default=lambda: False, repr=False)
+
+    def close(self) -> None:
+        """Deletes the run's staged tables; its frames end with them."""
+        self.drop()
 
     @property
     def rejects(self) -> DataFrame:
@@ -141,13 +150,14 @@ class Context:
     tenant: str
     one_per_line: bool = False
     loaded_at: dt.datetime | None = None
+    run_id: str | None = None
 
     def __post_init__(self) -> None:
         use_utc(self.spark)
 
     def at(self) -> Context:
-        """The same with one load stamp for all rows of a run."""
-        return replace(self, loaded_at=self.loaded_at or dt.datetime.now(dt.timezone.utc))
+        """The same with one load stamp and one staging folder for a run."""
+        return replace(self, loaded_at=self.loaded_at or dt.datetime.now(dt.timezone.utc), run_id=self.run_id or uuid.uuid4().hex)
 
     @property
     def stamp(self) -> Column:
@@ -155,80 +165,93 @@ class Context:
 
     @property
     def store(self) -> Warehouse:
-        return Warehouse(self.spark, self.warehouse, dataset_of(self.tenants, self.tenant))
+        return Warehouse(self.spark, self.warehouse, dataset_of(self.tenants, self.tenant), self.run_id)
 
     def pages(self, endpoint: str, restaurants: DataFrame, restaurant_guid: str | None = None) -> DataFrame:
         pages = read_pages(self.spark, self.landing, endpoint, self.one_per_line)
         return in_restaurants(pages, restaurants, restaurant_guid)
 
 
-def _load_fact(
-    ctx: Context, fact: Fact, restaurants: DataFrame, restaurant_guid, start: str, end: str, fail_batch: bool, dedup_batch: bool
-) -> tuple[dict, Callable[[], DataFrame], Callable[[], DataFrame], DataFrame, DataFrame]:
+@dataclass
+class _Loaded:
+    """One fact of a run, written but not visible yet."""
+
+    fact: Fact
+    counts: dict[str, int]
+    outcomes: DataFrame
+    # Accepted and rejected rows.
+    rows: DataFrame
+    load: LoadResult
+    written: Written | None
+
+    def rejects(self) -> DataFrame:
+        rows = self.rows.select(*self.outcomes.columns)
+        others = self.outcomes.where(F.col("stage") != "row")
+        return set_aside(rows.unionByName(others), self.fact.table)
+
+    def by_restaurant(self) -> DataFrame:
+        documents = {"fetched": F.col("n_documents") == 1, "documents_rejected": (F.col("stage") == "document") & rejected_row()}
+        return tally(
+            ["restaurant_guid"],
+            (self.outcomes.where(F.col("stage") != "page"), documents),
+            (self.rows, {"flattened": every_row(), "rejected": rejected_row()}),
+            (self.load.inserted, {"loaded": every_row()}),
+        ).select(F.lit(self.fact.table.name).alias("table_name"), "*")
+
+    def days(self, rows: DataFrame, *more: str) -> DataFrame:
+        return rows.select(F.lit(self.fact.table.name).alias("table_name"), "restaurant_guid", "business_date", "query_date", *more)
+
+
+def _load_fact(ctx: Context, fact: Fact, pages: DataFrame, fail_batch: bool, dedup_batch: bool) -> _Loaded:
     store, table = ctx.store, fact.table
-    pages = in_query_days(ctx.pages(fact.endpoint, restaurants, restaurant_guid), start, end)
-    page_seen, doc_seen = Observation(), Observation()
-    parsed = parse(fact, pages, page_seen, doc_seen)
-    staged = store.stage(table.name, fact.flatten(parsed.valid, ctx.stamp))
-    checked = store.stage(f"{table.name}_strict", strict(staged)) if fail_batch else staged
-    load: LoadResult = store.insert_new(table, accepted(checked, table), dedup_batch)
-    counts = checked.agg(
-        F.count(F.lit(1)).alias("flattened"), F.count_if(F.col(REASON).isNotNull()).alias("rejected")
-    ).first()
-    result = {
-        "fetched": doc_seen.get["fetched"],
-        "flattened": counts.flattened,
+    found, seen = store.stage_counted(table.name, outcomes(fact, pages, ctx.stamp), **counts())
+    rows, n_rejected = rows_of(found), seen["rejected"]
+    if fail_batch:
+        rows, strictly = store.stage_counted(f"{table.name}_strict", strict(rows), rejected=counts()["rejected"])
+        n_rejected = strictly["rejected"]
+    good = rows.where(F.col(REASON).isNull()).select(*table.columns, "query_date")
+    written, load = store.prepare(table, good, dedup_batch, n_staged=seen["flattened"] - n_rejected)
+    summed = {
+        "fetched": seen["fetched"],
+        "flattened": seen["flattened"],
         "staged": load.rows_staged,
         "loaded": load.rows_inserted,
         "duplicates_skipped": load.duplicates_skipped,
-        "rejected": page_seen.get["broken"] + doc_seen.get["invalid"] + counts.rejected,
+        "rejected": seen["broken"] + seen["invalid"] + n_rejected,
     }
+    return _Loaded(fact, summed, found, rows, load, written)
 
-    # Only who asks for rejects or counts by restaurant pays for parsing again.
-    def rejects() -> DataFrame:
-        broken = broken_pages(parse_pages(pages, fact.document)).withColumn(REASON, F.col("page_error"))
-        found = [
-            as_rejects(broken.drop("data", "page_error"), "page", table.name),
-            as_rejects(rejected(parse_headers(fact, pages)), "document", table.name),
-            as_rejects(rejected(checked), "row", table.name),
-        ]
-        return reduce(DataFrame.unionByName, found)
-
-    def by_restaurant() -> DataFrame:
-        return tally(
-            ["restaurant_guid"],
-            (parse_headers(fact, pages), {"fetched": every_row(), "documents_rejected": rejected_row()}),
-            (checked, {"flattened": every_row(), "rejected": rejected_row()}),
-            (load.inserted, {"loaded": every_row()}),
-        ).select(F.lit(table.name).alias("table_name"), "*")
-
-    return result, rejects, by_restaurant, checked, load.inserted
 
+def _run_facts(
+    ctx: Context, facts: list[Fact], restaurant_guid, start, end, fail_batch, dedup_batch,
+    pages_of: Callable[[DataFrame], DataFrame] = lambda pages: pages,
+    also: Callable[[RunResult], list[Written]] = lambda run: [],
+) -> RunResult:
+    """Writes all facts of a run, then publishes them as one version.
 
-def _run_facts(ctx: Context, facts: list[Fact], restaurant_guid, start, end, fail_batch, dedup_batch) -> RunResult:
+    `pages_of` narrows the pages down; `also` may write more for the same version.
+    """
     ctx = ctx.at()
     start, end = date_range(start, end)
     restaurants = restaurants_of(ctx.tenants, ctx.tenant, restaurant_guid)
     summary = {"start_date": start, "end_date": end, "restaurants_processed": restaurants.distinct().count(), "tables": {}}
-    rejects, counts, staged, inserted = [], [], [], []
+    loaded = []
     for fact in facts:
-        result, bad, by_restaurant, rows, new = _load_fact(
-            ctx, fact, restaurants, restaurant_guid, start, end, fail_batch, dedup_batch
-        )
-        inserted.append(new.select(F.lit(fact.table.name).alias("table_name"), "restaurant_guid", "business_date"))
-        summary["tables"][fact.table.name] = result
-        rejects.append(bad)
-        counts.append(by_restaurant)
-        staged.append(rows.select(F.lit(fact.table.name).alias("table_name"), "restaurant_guid", "business_date", REASON))
-    n_rejected = sum(result["rejected"] for result in summary["tables"].values())
-    return RunResult(
+        pages = in_query_days(ctx.pages(fact.endpoint, restaurants, restaurant_guid), start, end)
+        loaded.append(_load_fact(ctx, fact, pages_of(pages), fail_batch, dedup_batch))
+        summary["tables"][fact.table.name] = loaded[-1].counts
+    n_rejected = sum(part.counts["rejected"] for part in loaded)
+    run = RunResult(
         "partial" if n_rejected else "success",
         summary,
-        _together(rejects),
-        _together(counts),
-        reduce(DataFrame.unionByName, staged),
-        reduce(DataFrame.unionByName, inserted),
+        _together([part.rejects for part in loaded]),
+        _together([part.by_restaurant for part in loaded]),
+        reduce(DataFrame.unionByName, [part.days(part.rows, REASON) for part in loaded]),
+        reduce(DataFrame.unionByName, [part.days(part.load.inserted) for part in loaded]),
+        lambda: ctx.store.drop_staging(ctx.run_id),
     )
+    ctx.store.publish(*[part.written for part in loaded if part.written], *also(run))
+    return run
 
 
 def run_orders(ctx: Context, restaurant_guid=None, start=None, end=None, fail_batch=False, dedup_batch=False) -> RunResult:
@@ -250,86 +273,119 @@ def run_labor(ctx: Context, restaurant_guid=None, start=None, end=None, fail_bat
     return _run_facts(ctx, [TIME_ENTRIES], restaurant_guid, start, end, fail_batch, dedup_batch)
 
 
-def dimension_rows(ctx: Context, restaurants: DataFrame, restaurant_guid: str | None = None) -> list[tuple[Table, DataFrame, DataFrame]]:
-    """The four dimensions as (table, enforced rows, unreadable pages)."""
+def dimension_outcomes(ctx: Context, restaurants: DataFrame, restaurant_guid: str | None = None) -> dict[Table, DataFrame]:
+    """Rows and unreadable pages of the four dimensions, each from one parse."""
 
     def pages(endpoint: str) -> DataFrame:
         return ctx.pages(endpoint, restaurants, restaurant_guid)
 
-    info = first_documents(pages("restaurants"), RESTAURANT_DOC)
-    staff = parse_pages(pages("employees"), EMPLOYEE_DOC)
-    roles = parse_pages(pages("jobs"), JOB_DOC)
-    menus = menu_pages(pages("menus"))
-    return [
-        (DIM_RESTAURANTS, flatten.restaurants(first_per_restaurant(documents(info)), ctx.stamp), broken_pages(info)),
-        (DIM_EMPLOYEES, flatten.employees(documents(staff), ctx.stamp), broken_pages(staff)),
-        (DIM_JOBS, flatten.jobs(documents(roles), ctx.stamp), broken_pages(roles)),
-        (DIM_MENU_ITEMS, menu_items(menus, ctx.stamp), broken_pages(menus)),
-    ]
+    def listed(parsed: DataFrame) -> DataFrame:
+        return documents_and_pages(parsed).withColumn(REASON, F.lit(None).cast("string"))
+
+    info = first_per_restaurant(listed(first_documents(pages("restaurants"), RESTAURANT_DOC)))
+    staff = listed(parse_pages(pages("employees"), EMPLOYEE_DOC))
+    roles = listed(parse_pages(pages("jobs"), JOB_DOC))
+    return {
+        DIM_RESTAURANTS: flatten.restaurants(tag(info, []), ctx.stamp),
+        DIM_EMPLOYEES: flatten.employees(tag(staff, []), ctx.stamp),
+        DIM_JOBS: flatten.jobs(tag(roles, []), ctx.stamp),
+        DIM_MENU_ITEMS: menu_outcomes(menu_pages(pages("menus")), ctx.stamp, ctx.store.stage),
+    }
 
 
 def run_dimensions(ctx: Context, restaurant_guid=None, mode: str = "full") -> RunResult:
-    """Refreshes the four dimensions, each in full or only for the restaurants read."""
+    """Refreshes the four dimensions, each in full or only for the restaurants read.
+
+    All four change in one version, or none does.
+    """
     ctx = ctx.at()
     restaurants = restaurants_of(ctx.tenants, ctx.tenant, restaurant_guid)
-    summary = {"restaurants_processed": restaurants.distinct().count(), "tables": {}}
-    rejects, counts, n_rejected = [], [], 0
-    for table, rows, broken in dimension_rows(ctx, restaurants, restaurant_guid):
-        staged = ctx.store.stage(table.name, rows)
-        bad = [
-            as_rejects(broken.select("value", "restaurant_guid", F.col("page_error").alias(REASON)), "page", table.name),
-            as_rejects(rejected(staged), "row", table.name),
-        ]
-        loaded = ctx.store.refresh(table, accepted(staged, table), mode)
-        table_rejects = reduce(DataFrame.unionByName, bad)
-        n_bad = table_rejects.count()
-        summary["tables"][table.name] = {"loaded": loaded, "rejected": n_bad}
-        n_rejected += n_bad
-        rejects.append(table_rejects)
-        counts.append(
-            tally(["restaurant_guid"], (staged, {"flattened": every_row(), "rejected": rejected_row()})).select(
-                F.lit(table.name).alias("table_name"), "*"
-            )
-        )
+    found, seen = {}, {}
+    for table, frame in dimension_outcomes(ctx, restaurants, restaurant_guid).items():
+        found[table], seen[table] = ctx.store.stage_counted(table.name, frame, **counts())
+    loaded = ctx.store.refresh_all({table: accepted(rows_of(frame), table) for table, frame in found.items()}, mode)
+    n_bad = {table: seen[table]["broken"] + seen[table]["rejected"] for table in found}
+
+    def by_restaurant(table: Table) -> DataFrame:
+        rows = tally(["restaurant_guid"], (rows_of(found[table]), {"flattened": every_row(), "rejected": rejected_row()}))
+        return rows.select(F.lit(table.name).alias("table_name"), "*")
+
     return RunResult(
-        "partial" if n_rejected else "success",
-        summary,
-        lambda: reduce(DataFrame.unionByName, rejects),
-        lambda: reduce(DataFrame.unionByName, counts),
+        "partial" if sum(n_bad.values()) else "success",
+        {
+            "restaurants_processed": restaurants.distinct().count(),
+            "tables": {t.name: {"loaded": loaded[t.name], "rejected": n_bad[t]} for t in found},
+        },
+        lambda: reduce(DataFrame.unionByName, [set_aside(frame, table) for table, frame in found.items()]),
+        lambda: reduce(DataFrame.unionByName, [by_restaurant(table) for table in found]),
+        drop=lambda: ctx.store.drop_staging(ctx.run_id),
     )
 
 
-RUNS = {"orders": run_orders, "cash": run_cash, "labor": run_labor}
+RUN_FACTS = {"orders": [ORDERS], "cash": [CASH_ENTRIES, CASH_DEPOSITS], "labor": [TIME_ENTRIES]}
+UNIT = ["restaurant_guid", "week_start", "week_end"]
 
 
 @dataclass
 class Backfill:
+    """`plan` are the units of work, `finished` those that were left out as done before."""
+
     plan: DataFrame
     run: RunResult | None = None
     by_window: DataFrame | None = None
+    # What each unit gave: its pages are those asked for in its days.
+    by_unit: DataFrame | None = None
+    finished: DataFrame | None = None
+
+
+def finished_units(ctx: Context, kind: str) -> DataFrame:
+    """Units that earlier backfills of a kind have loaded, whatever they gave."""
+    return ctx.store.read(LOAD_UNITS).where(F.col("kind") == kind).select(*UNIT).distinct()
 
 
 def run_backfill(
-    ctx: Context, kind: str, start: str, end: str | None = None, restaurant_guid=None, dry_run: bool = False, **options
-) -> Backfill:
+    ctx: Context, kind: str, start: str, end: str | None = None, restaurant_guid=None, dry_run: bool = False, resume: bool = False,
+    fail_batch: bool = False, dedup_batch: bool = False,
+) -> Backfill:
     """One load over the whole range, reported by restaurant and week window.
 
     `end` defaults to yesterday. A dry run only gives the plan. Rows whose business
     day is outside the range are reported with a null window.
+
+    Units are noted as finished in the version that makes their rows visible. With `resume`, units of
+    the plan that were finished before are left out: their pages are not read again.
     """
-    if kind not in RUNS:
+    if kind not in RUN_FACTS:
         raise ValueError(f"unknown load {kind!r}")
+    ctx = ctx.at()
     end = end or date_range()[0]
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
     plan = backfill_plan(restaurants_of(ctx.tenants, ctx.tenant, restaurant_guid).distinct(), first, last)
+    finished = finished_units(ctx, kind) if resume else None
+    if resume:
+        plan = plan.join(finished, UNIT, "left_anti")
     if dry_run:
-        return Backfill(plan)
-    run = RUNS[kind](ctx, restaurant_guid, start, end, **options)
+        return Backfill(plan, finished=finished)
+    plan = ctx.store.stage("backfill_plan", plan)
     unit = ["restaurant_guid", "window_no"]
-    by_window = tally(
-        unit,
-        (plan, {"planned": every_row()}),
-        (with_window(run.staged, first, last), {"flattened": every_row()}),
-        (with_window(run.inserted, first, last), {"loaded": every_row()}),
-    ).drop("planned")
-    return Backfill(plan, run, by_window)
+
+    def in_plan(pages: DataFrame) -> DataFrame:
+        return with_window(pages, first, last, "query_date").join(plan, unit, "left_semi").drop("window_no") if resume else pages
+
+    def per(day: str, run: RunResult) -> DataFrame:
+        return tally(
+            unit,
+            (plan, {"planned": every_row()}),
+            (with_window(run.staged, first, last, day), {"flattened": every_row()}),
+            (with_window(run.inserted, first, last, day), {"loaded": every_row()}),
+        ).drop("planned")
+
+    units: list[DataFrame] = []
+
+    def note(run: RunResult) -> list[Written]:
+        counted = per("query_date", run).join(plan, unit)
+        units.append(ctx.store.stage("backfill_units", counted.select(*unit, "week_start", "week_end", "flattened", "loaded")))
+        return [ctx.store.write_plain(LOAD_UNITS, units[0].select(F.lit(kind).alias("kind"), *UNIT, "flattened", "loaded", ctx.stamp.alias("_loaded_at")))]
+
+    run = _run_facts(ctx, RUN_FACTS[kind], restaurant_guid, start, end, fail_batch, dedup_batch, in_plan, note)
+    return Backfill(plan, run, per("business_date", run), units[0], finished)

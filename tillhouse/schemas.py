@@ -13,6 +13,7 @@ _TYPES = {
     "timestamp": T.TimestampType(),
     "double": T.DoubleType(),
     "boolean": T.BooleanType(),
+    "long": T.LongType(),
 }
 
 
@@ -266,3 +267,34 @@ JOB_DOC = """
     guid string, title string, name string, defaultWage double,
     tipped boolean, deleted boolean
 """
+
+# --- Tables of the loads themselves, beside the eight ------------------------
+
+#: Units that a backfill has finished: a restaurant in a window of days asked for.
+LOAD_UNITS = Table(
+    "load_units",
+    ("kind", "restaurant_guid", "week_start", "week_end"),
+    """
+    kind             string     required
+    restaurant_guid  string     required
+    week_start       date       required
+    week_end         date       required
+    flattened        long
+    loaded           long
+    _loaded_at       timestamp  required
+    """,
+)
+
+#: What a stream has set aside.
+REJECTS = Table(
+    "rejects",
+    ("reject_id",),
+    """
+    reject_id        string     required
+    table_name       string     required
+    stage            string     required
+    restaurant_guid  string
+    reject_reason    string     required
+    record           string
+    """,
+)

@@ -1,9 +1,11 @@
 """Parquet tables of one tenant's dataset, in a folder all executors share.
 
-Facts are partitioned by business day and sorted by restaurant within a file;
-they are only appended to. Dimensions are replaced by writing a new version folder
-and then noting it in a version log; readers follow the last note, so a failed
-refresh leaves the old version in place. One writer per table at a time.
+A table is what the newest manifest names: folders of files, one per load. Facts are
+partitioned by business day within a load and sorted by restaurant within a file; a load adds a
+folder, and its keys to the key index. A dimension refresh puts one folder in the place of
+all there were, for all dimensions of the refresh in one manifest. Files are written first and the manifest
+last, so a load or refresh that dies leaves nothing that a reader sees. One writer
+per dataset at a time; a second one that publishes in between is noticed and stopped.
 """
 
 from __future__ import annotations
@@ -12,11 +14,14 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.operators.insert import not_in_target, one_per_key
 from tillhouse.schemas import Table
+from tillhouse.sinks.key_index import BUCKETS, KeyIndex
+from tillhouse.sinks.manifest import Files, Manifest, ManifestLog
 
 
 @dataclass
@@ -30,51 +35,119 @@ class LoadResult:
         return self.rows_staged - self.rows_inserted
 
 
-class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, dataset: str):
-        self.spark = spark
-        self.root = f"{root.rstrip('/')}/{dataset}"
+@dataclass(frozen=True)
+class Written:
+    """Files of a load that no manifest names yet."""
 
-    def path(self, table: Table) -> str:
-        return f"{self.root}/{table.name}"
+    table: Table
+    folder: str
+    rows: int
 
-    # --- facts ---------------------------------------------------------------
 
-    def _hadoop_path(self, path: str):
-        """A path with its file system, as Spark itself would resolve it."""
-        context = self.spark.sparkContext
-        found = context._jvm.org.apache.hadoop.fs.Path(path)
-        return found.getFileSystem(context._jsc.hadoopConfiguration()), found
+def _load_name() -> str:
+    return f"load={dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}_{uuid.uuid4().hex[:8]}"
 
-    def exists(self, path: str) -> bool:
-        """One look-up; reading the path would list every partition folder."""
-        files, found = self._hadoop_path(path)
-        return files.exists(found)
 
-    def ensure(self, table: Table) -> None:
-        """Creates a fact table's folder when it is not there."""
-        if not self.exists(self.path(table)):
-            empty = self.spark.createDataFrame([], table.schema)
-            empty.write.mode("append").partitionBy("business_date").parquet(self.path(table))
+def _observed(seen: Observation) -> dict[str, int]:
+    """What was observed; nothing of a plan that the optimizer found to be empty."""
+    try:
+        return {name: value or 0 for name, value in seen.get.items()}
+    except Py4JJavaError:
+        return {}
 
-    def read(self, table: Table) -> DataFrame:
-        """A fact table; filters on `business_date` prune folders."""
-        self.ensure(table)
-        return self.spark.read.schema(table.schema).parquet(self.path(table)).select(*table.columns)
 
-    def append(self, table: Table, rows: DataFrame) -> int:
-        """Appends rows by column name and returns how many were written.
+class Warehouse:
+    def __init__(self, spark: SparkSession, root: str, dataset: str, run: str | None = None, buckets: int = BUCKETS):
+        self.spark = spark
+        self.root = f"{root.rstrip('/')}/{dataset}"
+        # Staged tables of one run share a folder.
+        self.run = run or uuid.uuid4().hex
+        self.buckets = buckets
+        self.files = Files(spark)
+        self.log = ManifestLog(spark, self.root)
+
+    def path(self, table: Table | str) -> str:
+        return f"{self.root}/{table if isinstance(table, str) else table.name}"
+
+    def index(self, table: Table) -> KeyIndex:
+        keys, units = self.path(f"{table.name}_keys"), self.path(f"{table.name}_key_units")
+        return KeyIndex(self.spark, table.key, keys, units, self.buckets)
+
+    # --- versions --------------------------------------------------------------
+
+    def manifest(self, version: int | None = None) -> Manifest:
+        return self.log.read(version)
+
+    def publish(self, *added: Written, replaced: list[Written] = (), batches: dict[str, int] | None = None) -> Manifest:
+        """Makes written files visible, all at once. Without anything to add the version stays."""
+        more: dict[str, list[str]] = {}
+        for w in added:
+            if w.rows:
+                more.setdefault(w.table.name, []).append(w.folder)
+        now = self.manifest()
+        if not (more or replaced or batches):
+            return now
+        return self.log.write(now.after(more, {w.table.name: [w.folder] for w in replaced}, batches or {}))
+
+    def _open(self, table: Table, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], table.schema)
+        found = self.spark.read.schema(table.schema).option("basePath", self.path(table))
+        return found.parquet(*[f"{self.path(table)}/{f}" for f in folders]).select(*table.columns)
+
+    def read(self, table: Table, version: int | None = None) -> DataFrame:
+        """A table as a version has it, else the newest; filters on a fact's `business_date` prune folders."""
+        return self._open(table, self.manifest(version).tables.get(table.name, []))
+
+    def unpublished(self, table: Table) -> list[str]:
+        """Folders of files that no version names, as loads that died leave them."""
+        named = {f for n in self.log.numbers() for f in self.log.read(n).tables.get(table.name, [])}
+        return sorted(f for f in self.files.names(self.path(table)) if f.startswith("load=") and f not in named)
+
+    def drop_unpublished(self, table: Table) -> int:
+        """Deletes such folders with their keys. Call it when no load is under way."""
+        index, gone = self.index(table), self.unpublished(table)
+        for folder in gone:
+            for root in (self.path(table), index.keys_root, index.units_root):
+                self.files.delete(f"{root}/{folder}")
+        return len(gone)
+
+    # --- facts ---------------------------------------------------------------
+
+    def write(self, table: Table, rows: DataFrame) -> Written:
+        """Writes rows, read twice, and their keys as a load of its own, not visible yet.
 
         Rebalancing gathers each day in few files; a day that is too large for one
         task is split again by adaptive execution.
         """
-        self.ensure(table)
-        seen = Observation()
+        folder, seen = _load_name(), Observation()
         laid_out = rows.select(*table.columns).hint("rebalance", "business_date")
         ordered = laid_out.sortWithinPartitions("business_date", "restaurant_guid")
         counted = ordered.observe(seen, F.count(F.lit(1)).alias("n"))
-        counted.write.mode("append").partitionBy("business_date").parquet(self.path(table))
-        return seen.get["n"]
+        counted.write.partitionBy("business_date").parquet(f"{self.path(table)}/{folder}")
+        n = _observed(seen).get("n", 0)
+        if n:
+            self.index(table).write(folder, rows)
+        return Written(table, folder, n)
+
+    def write_plain(self, table: Table, rows: DataFrame) -> Written:
+        """Writes rows of a table without days and key index, not visible yet."""
+        folder, seen = _load_name(), Observation()
+        counted = rows.select(*table.columns).observe(seen, F.count(F.lit(1)).alias("n"))
+        counted.write.parquet(f"{self.path(table)}/{folder}")
+        return Written(table, folder, _observed(seen).get("n", 0))
+
+    def append(self, table: Table, rows: DataFrame) -> int:
+        """Appends rows by column name and returns how many were written."""
+        written = self.write(table, rows)
+        self.publish(written)
+        return written.rows
+
+    def known_keys(self, table: Table, batch: DataFrame, version: int | None = None) -> DataFrame:
+        """Keys of a fact that the batch may hold, from the files of the index that may have them."""
+        return self.index(table).matching(self.manifest(version).tables.get(table.name, []), batch)
+
+    # --- staging ---------------------------------------------------------------
 
     def stage(self, name: str, rows: DataFrame) -> DataFrame:
         """Writes rows under a fresh name and reads them back.
@@ -82,74 +155,77 @@ class Warehouse:
         The staged table cuts lineage: checks, key counts and the insert read
         columns from it and never parse the documents again.
         """
-        path = f"{self.root}/_staging/{name}_{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        return self.stage_counted(name, rows)[0]
 
-    def drop_staging(self) -> bool:
-        """Deletes the staged tables of finished runs, whose frames then end too.
+    def stage_counted(self, name: str, rows: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+        """A staged table and what was counted while it was written."""
+        path = f"{self.root}/_staging/{self.run}/{name}_{uuid.uuid4().hex}"
+        seen = Observation()
+        if counts:
+            rows = rows.observe(seen, *[c.alias(n) for n, c in counts.items()])
+        rows.write.parquet(path)
+        found = dict.fromkeys(counts, 0) | (_observed(seen) if counts else {})
+        return self.spark.read.schema(rows.schema).parquet(path), found
 
-        Call it when no run is under way.
-        """
-        files, staging = self._hadoop_path(f"{self.root}/_staging")
-        return files.delete(staging, True)
+    def drop_staging(self, run: str | None = None) -> bool:
+        """Deletes the staged tables of a finished run, or of all runs, whose frames then end too."""
+        return self.files.delete(f"{self.root}/_staging" + (f"/{run}" if run else ""))
 
-    def insert_new(
-        self, table: Table, staged: DataFrame, dedup_batch: bool = False, hot_rows: int = 0
-    ) -> LoadResult:
-        """Appends the staged rows whose key is new. An empty batch changes nothing.
+    def prepare(self, table: Table, staged: DataFrame, dedup_batch: bool = False, hot_rows: int = 0, n_staged: int | None = None) -> tuple[Written | None, LoadResult]:
+        """Writes the staged rows whose key is new, not visible yet. An empty batch writes nothing.
 
         The new rows are staged too: what a run inserted is counted from them, not
         searched for in the table.
         """
         keys = list(table.key)
-        n_staged = staged.count()
+        n_staged = staged.count() if n_staged is None else n_staged
         if not n_staged:
-            return LoadResult(0, 0, staged)
+            return None, LoadResult(0, 0, staged)
         batch = one_per_key(staged, keys) if dedup_batch else staged
-        new = not_in_target(batch, self.read(table), keys, None if dedup_batch else hot_rows)
+        new = not_in_target(batch, self.known_keys(table, batch), keys, None if dedup_batch else hot_rows)
         inserted = self.stage(f"{table.name}_inserted", new)
-        return LoadResult(n_staged, self.append(table, inserted), inserted)
-
-    # --- dimensions ----------------------------------------------------------
+        written = self.write(table, inserted)
+        return written, LoadResult(n_staged, written.rows, inserted)
 
-    def _versions(self, table: Table) -> str:
-        return f"{self.path(table)}/_log"
+    def insert_new(self, table: Table, staged: DataFrame, dedup_batch: bool = False, hot_rows: int = 0, n_staged: int | None = None) -> LoadResult:
+        """Appends the staged rows whose key is new."""
+        written, result = self.prepare(table, staged, dedup_batch, hot_rows, n_staged)
+        if written:
+            self.publish(written)
+        return result
 
-    def current_version(self, table: Table) -> str | None:
-        if not self.exists(self._versions(table)):
-            return None
-        log = self.spark.read.schema("version string").json(self._versions(table))
-        return log.agg(F.max("version")).first()[0]
+    # --- dimensions ----------------------------------------------------------
 
-    def read_dimension(self, table: Table) -> DataFrame:
-        version = self.current_version(table)
-        if version is None:
-            return self.spark.createDataFrame([], table.schema)
-        return self.spark.read.schema(table.schema).parquet(f"{self.path(table)}/{version}")
+    def read_dimension(self, table: Table, version: int | None = None) -> DataFrame:
+        return self.read(table, version)
 
-    def refresh(self, table: Table, rows: DataFrame, mode: str = "full") -> int:
-        """Replaces a dimension and returns its number of rows read from `rows`.
+    def write_dimension(self, table: Table, rows: DataFrame, mode: str = "full") -> Written:
+        """Writes a dimension's next content, not visible yet. `rows` are read once, or twice by restaurant.
 
         `full` replaces the whole table, `restaurant` only the restaurants that are
-        in `rows`. Without rows the old version stays.
+        in `rows`. The result counts what came from `rows`; zero means that the table stays.
         """
         if mode not in ("full", "restaurant"):
             raise ValueError(f"unknown refresh mode {mode!r}")
-        if rows.isEmpty():
-            return 0
-        seen = Observation()
+        folder, seen = _load_name(), Observation()
         content = rows.select(*table.columns).observe(seen, F.count(F.lit(1)).alias("n"))
         if mode == "restaurant":
             renewed = rows.select("restaurant_guid").distinct()
-            kept = self.read_dimension(table).join(renewed, "restaurant_guid", "left_anti")
+            kept = self.read(table).join(renewed, "restaurant_guid", "left_anti")
             content = content.unionByName(kept.select(*table.columns))
-        version = f"v{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}_{uuid.uuid4().hex[:8]}"
         laid_out = content.hint("rebalance").sortWithinPartitions("restaurant_guid")
-        laid_out.write.parquet(f"{self.path(table)}/{version}")
-        note = self.spark.createDataFrame([(version,)], "version string")
-        note.write.mode("append").json(self._versions(table))
-        return seen.get["n"]
+        laid_out.write.parquet(f"{self.path(table)}/{folder}")
+        return Written(table, folder, _observed(seen).get("n", 0))
+
+    def refresh_all(self, rows: dict[Table, DataFrame], mode: str = "full") -> dict[str, int]:
+        """Replaces several dimensions in one version; without rows a table stays as it was."""
+        written = [self.write_dimension(table, content, mode) for table, content in rows.items()]
+        self.publish(replaced=[w for w in written if w.rows])
+        return {w.table.name: w.rows for w in written}
+
+    def refresh(self, table: Table, rows: DataFrame, mode: str = "full") -> int:
+        """Replaces one dimension and returns its number of rows read from `rows`."""
+        return self.refresh_all({table: rows}, mode)[table.name]
 
 
 def write_ndjson(rows: DataFrame, path: str) -> None:

@@ -112,6 +112,22 @@ def documents(parsed: DataFrame) -> DataFrame:
     return parsed.select(*carried, F.explode(readable).alias("doc"))
 
 
+def documents_and_pages(parsed: DataFrame) -> DataFrame:
+    """One row per document, and one without per page that cannot be read.
+
+    `doc_no` is the document's place on its page, null for such a page, which keeps its `value` and
+    `page_error`. A page without documents gives no row.
+    """
+    broken = F.col("page_error").isNotNull()
+    carried = [c for c in parsed.columns if c not in ("value", "data")]
+    listed = parsed.select(
+        *carried,
+        F.when(broken, F.col("value")).alias("value"),
+        F.posexplode_outer(F.when(~broken, F.col("data"))).alias("doc_no", "doc"),
+    )
+    return listed.where(F.col("doc_no").isNotNull() | F.col("page_error").isNotNull())
+
+
 def broken_pages(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("page_error").isNotNull())
 
@@ -132,9 +148,15 @@ def first_documents(pages: DataFrame, document: str) -> DataFrame:
 
 
 def first_per_restaurant(docs: DataFrame) -> DataFrame:
-    """The document of each restaurant's first page, by file name."""
+    """The document of each restaurant's first page, by file name.
+
+    Pages that cannot be read, where `docs` has them, all stay.
+    """
     least = F.min_by(F.struct(*docs.columns), F.struct("source_file", F.to_json("doc")))
-    return docs.groupBy("restaurant_guid").agg(least.alias("first")).select("first.*")
+    keys = [F.col("restaurant_guid")]
+    if "page_error" in docs.columns:
+        keys.append(F.when(F.col("page_error").isNotNull(), F.struct("source_file", "value")))
+    return docs.groupBy(*keys).agg(least.alias("first")).select("first.*")
 
 
 def menu_pages(pages: DataFrame) -> DataFrame:
