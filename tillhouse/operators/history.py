@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,17 +52,15 @@ def history_of(snapshots: DataFrame, keys: list[str], tracked: list[str], day: s
     return versions.select(*keys, *tracked, "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current"))
 
 
-def apply_snapshot(history: DataFrame, snapshot: DataFrame, keys: list[str], tracked: list[str], day) -> DataFrame:
-    """History after one more snapshot taken on `day`.
+def next_versions(opened: DataFrame, snapshot: DataFrame, keys: list[str], tracked: list[str], day) -> DataFrame:
+    """What the open versions become with a snapshot taken on `day`.
 
-    Closed versions pass through. Changed and vanished keys are closed, changed and
-    new ones opened. Only open versions meet the snapshot, one row per key each.
+    Changed and vanished keys are closed, changed and new ones opened; each side is
+    one row per key. Closed versions of before are not needed.
     """
-    closed = history.where(~F.col("is_current"))
     now = F.lit(day).cast("date")
     fresh = snapshot.groupBy(*keys).agg(F.min(F.struct(*tracked)).alias("new"))
-    opened = history.where("is_current").select(*keys, F.struct(*tracked).alias("old"), "valid_from")
-    met = opened.join(fresh, keys, "full_outer")
+    met = opened.select(*keys, F.struct(*tracked).alias("old"), "valid_from").join(fresh, keys, "full_outer")
     same = F.col("old").eqNullSafe(F.col("new"))
     old_version = F.struct(
         F.col("old").alias("row"),
@@ -80,7 +80,32 @@ def apply_snapshot(history: DataFrame, snapshot: DataFrame, keys: list[str], tra
             F.when(F.col("new").isNotNull() & ~same, new_version),
         )
     )
-    open_now = met.select(*keys, F.explode(versions).alias("v")).select(
+    return met.select(*keys, F.explode(versions).alias("v")).select(
         *keys, "v.row.*", "v.valid_from", "v.valid_to", "v.is_current"
     )
-    return closed.select(*keys, *tracked, *VALID).unionByName(open_now)
+
+
+def apply_snapshot(history: DataFrame, snapshot: DataFrame, keys: list[str], tracked: list[str], day) -> DataFrame:
+    """History after one more snapshot taken on `day`. Closed versions pass through."""
+    closed = history.where(~F.col("is_current")).select(*keys, *tracked, *VALID)
+    return closed.unionByName(next_versions(history.where("is_current"), snapshot, keys, tracked, day))
+
+
+def valid_on(days: DataFrame, versions: DataFrame, keys: list[str], carried: list[str], day: str = "business_date") -> DataFrame:
+    """`keys, day` with the `carried` columns of the version valid then, one row for each pair in `days`.
+
+    A day before the first version, or on or after the end of a key's last one, gets nulls. Both
+    sides meet by key and are sorted by day; the last version is carried forward, so neither days nor versions
+    are multiplied. Of `days` only distinct pairs are used: a key has at most one row
+    per day, however many facts it has.
+    """
+    nothing = F.lit(None).cast(f"struct<{','.join(f'`{c}`:{versions.schema[c].dataType.simpleString()}' for c in carried)},valid_to:date>")
+    asked = days.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).select(*keys, day).distinct()
+    version = F.struct(*carried, "valid_to")
+    both = versions.select(*keys, F.col("valid_from").alias(day), F.lit(0).alias("_kind"), version.alias("_version")).unionByName(
+        asked.select(*keys, day, F.lit(1).alias("_kind"), nothing.alias("_version"))
+    )
+    so_far = Window.partitionBy(*keys).orderBy(day, "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    told = both.withColumn("_version", F.last("_version", ignorenulls=True).over(so_far)).where("_kind = 1")
+    holds = F.col("_version.valid_to").isNull() | (F.col(day) < F.col("_version.valid_to"))
+    return told.select(*keys, day, *[F.when(holds, F.col("_version")[c]).alias(c) for c in carried])

@@ -91,7 +91,8 @@ def rows_of(outcomes: DataFrame) -> DataFrame:
 
 def set_aside(outcomes: DataFrame, table: Table) -> DataFrame:
     """Rejects of all three stages: `table_name, stage, restaurant_guid, reject_reason, record`."""
-    of_row = F.to_json(F.struct(*table.columns))
+    # Without the load stamp: the same row set aside again is the same reject.
+    of_row = F.to_json(F.struct(*[c for c in table.columns if c != "_loaded_at"]))
     return outcomes.where(F.col(REASON).isNotNull()).select(
         F.lit(table.name).alias("table_name"),
         "stage",

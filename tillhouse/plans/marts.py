@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillhouse.operators.history import valid_on
 from tillhouse.operators.menus import one_row_per_item
 
 _DAY = ["restaurant_guid", "business_date"]
@@ -65,3 +66,21 @@ def sales_by_menu_group(items: DataFrame, menu_items: DataFrame) -> DataFrame:
         .groupBy("menu_name", "menu_group_name")
         .agg(F.sum("quantity").alias("quantity"), F.sum("revenue").alias("revenue"))
     )
+
+
+def sales_by_title_then(items: DataFrame, history: DataFrame) -> DataFrame:
+    """Items sold and revenue by the job title that a server had on the day of the sale.
+
+    `history` has versions of `employee_guid, job_title`. Sales are reduced to servers and days first,
+    so a server with a large share of all sales is as many rows as there are days. Sales of an
+    unknown server, or of a day that no version covers, have a null title.
+    """
+    sold = items.where(~F.col("is_voided") & ~F.col("is_deleted")).groupBy(F.col("server_guid").alias("employee_guid"), "business_date").agg(
+        F.count(F.lit(1)).alias("items_sold"), F.sum("item_price").alias("revenue")
+    )
+    titles = valid_on(sold, history, ["employee_guid"], ["job_title"])
+    return (
+        sold.join(titles, ["employee_guid", "business_date"], "left")
+        .groupBy("job_title")
+        .agg(F.sum("items_sold").alias("items_sold"), F.sum("revenue").alias("revenue"))
+    )

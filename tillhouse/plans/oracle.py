@@ -283,15 +283,19 @@ FROM numbered GROUP BY employee_guid, job_title, version""",
 }
 
 _EMPLOYEES = ORACLE["dim_employees"]
-# Keys of what a load of the years up to 1997 has put into the fact.
+# The years of the lines: the first day, the third year, the last day.
+_START = "(SELECT make_date(min(year(l_shipdate)), 1, 1) FROM lineitem)"
+_THIRD = "(SELECT min(year(l_shipdate)) + 2 FROM lineitem)"
+_END = "(SELECT make_date(max(year(l_shipdate)), 12, 31) FROM lineitem)"
+# Keys of what a load of the years up to the third has put into the fact.
 _HALVES = (
     "WITH "
     + _LINES
-    + """,
+    + f""",
 early AS MATERIALIZED (
-  SELECT DISTINCT l_orderkey, l_linenumber, k FROM rows WHERE row_reason IS NULL AND year(l_shipdate) <= 1997),
+  SELECT DISTINCT l_orderkey, l_linenumber, k FROM rows WHERE row_reason IS NULL AND year(l_shipdate) <= {_THIRD}),
 seen AS MATERIALIZED (
-  SELECT *, (row_reason IS NULL AND year(l_shipdate) > 1997 AND NOT EXISTS (
+  SELECT *, (row_reason IS NULL AND year(l_shipdate) > {_THIRD} AND NOT EXISTS (
     SELECT 1 FROM early e WHERE e.l_orderkey = rows.l_orderkey AND e.l_linenumber = rows.l_linenumber AND e.k = rows.k))::INTEGER AS n
   FROM rows)
 """
@@ -302,18 +306,18 @@ WHERE substr(restaurant_guid, 2)::INTEGER % 5 = 0 OR substr(employee_guid, 2)::I
     "one_restaurant_scope": f"""SELECT * FROM ({_EMPLOYEES}) e
 WHERE restaurant_guid = 'R7' AND substr(employee_guid, 2)::INTEGER % 7 <> 0""",
     "order_load": _HALVES
-    + """SELECT i.* FROM items i WHERE year(business_date) <= 1997 OR NOT EXISTS (
+    + f"""SELECT i.* FROM items i WHERE year(business_date) <= {_THIRD} OR NOT EXISTS (
   SELECT 1 FROM early e WHERE i.selection_guid = e.l_orderkey || '-' || e.l_linenumber || '-' || e.k)""",
     "backfill_by_window": _HALVES
-    + """, plan AS (
+    + f""", plan AS (
   SELECT DISTINCT restaurant_guid, w::INTEGER AS window_no
   FROM (SELECT 'R' || s_suppkey AS restaurant_guid FROM supplier UNION SELECT 'R' || n_nationkey FROM nation) r,
-    unnest(range(0, date_diff('day', DATE '1995-01-01', DATE '2001-12-31') // 7 + 1)) AS t(w)),
+    unnest(range(0, date_diff('day', {_START}, {_END}) // 7 + 1)) AS t(w)),
 counted AS (
   SELECT rest AS restaurant_guid, 1 AS f,
-    CASE WHEN l_partkey % 67 = 0 THEN NULL ELSE date_diff('day', DATE '1995-01-01', l_shipdate::DATE) // 7 END AS window_no,
+    CASE WHEN l_partkey % 67 = 0 THEN NULL ELSE date_diff('day', {_START}, l_shipdate::DATE) // 7 END AS window_no,
     n
-  FROM seen WHERE year(l_shipdate) <= 2001)
+  FROM seen)
 SELECT restaurant_guid, window_no::INTEGER AS window_no, sum(f)::BIGINT AS flattened, sum(n)::BIGINT AS loaded
 FROM (SELECT restaurant_guid, f, window_no, n FROM counted UNION ALL SELECT restaurant_guid, 0, window_no, 0 FROM plan) u GROUP BY 1, 2""",
     "load_by_restaurant": _HALVES
@@ -322,3 +326,86 @@ FROM (SELECT restaurant_guid, f, window_no, n FROM counted UNION ALL SELECT rest
 FROM (SELECT rest, 1 AS o, CASE WHEN doc_reason IS NOT NULL THEN 1 ELSE 0 END AS d, 0 AS f, 0 AS r, 0 AS n FROM l UNION ALL
       SELECT rest, 0, 0, 1, CASE WHEN row_reason IS NOT NULL THEN 1 ELSE 0 END, n FROM seen) c GROUP BY rest""",
 }
+
+# Cash and labor, landed by the week; restaurants are the events' users.
+_WEEK = "date_trunc('week', {0})::DATE"
+_MONDAY = "(SELECT date_trunc('week', min(ts))::DATE FROM events)"
+# A document without a day of its own has the day its page was asked for.
+_BOTH_CASH = f"""
+SELECT 'fact_cash_entries' AS table_name, cash_entry_guid AS guid, restaurant_guid,
+  CASE WHEN substr(cash_entry_guid, 2)::BIGINT % 3 <> 0 THEN business_date ELSE {_WEEK.format('ts')} END AS business_date, amount, ts
+FROM ({_CASH}) c
+UNION ALL SELECT 'fact_cash_deposits', deposit_guid, restaurant_guid,
+  CASE WHEN substr(deposit_guid, 2)::BIGINT % 3 = 1 THEN business_date ELSE {_WEEK.format('ts')} END, deposit_amount, ts
+FROM ({_DEPOSITS}) d"""
+_MENU = ORACLE["menu_flatten"]
+
+
+def _four_dimensions(outcome: str, employees: str, menus: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{outcome}' AS outcome, '{name}' AS table_name, {key} AS guid, restaurant_guid FROM ({rows}) x WHERE {condition}"
+        for name, key, rows, condition in (
+            ("dim_restaurants", "restaurant_guid", _RESTAURANTS, "true"),
+            ("dim_employees", "employee_guid", _EMPLOYEES, employees),
+            ("dim_jobs", "job_guid", ORACLE["dim_jobs"], "true"),
+            ("dim_menu_items", "menu_item_guid", _MENU, menus),
+        )
+    )
+
+
+ORACLE |= {
+    "insert_by_index": ORACLE["insert_new_order_items"],
+    "dimension_refresh_all": _four_dimensions("died", "true", "true")
+    + " UNION ALL "
+    + _four_dimensions(
+        "partial",
+        "substr(restaurant_guid, 2)::INTEGER % 5 = 0 OR substr(employee_guid, 2)::INTEGER % 7 <> 0",
+        "substr(restaurant_guid, 2)::INTEGER % 5 = 0 OR split_part(substr(menu_item_guid, 2), '-', 1)::INTEGER % 3 <> 0",
+    ),
+    "cash_load": f"SELECT * EXCLUDE (ts) FROM ({_BOTH_CASH}) b",
+    "load_after_failure": f"SELECT * EXCLUDE (ts) FROM ({_BOTH_CASH}) b WHERE ts < {_MONDAY} + 14",
+    "two_tenants_load": f"""SELECT * EXCLUDE (ts),
+  CASE WHEN substr(restaurant_guid, 2)::BIGINT % 2 = 0 THEN 'cash_even' ELSE 'cash_odd' END AS dataset FROM ({_BOTH_CASH}) b""",
+    "labor_load": ORACLE["labor_flatten"],
+    "empty_load": f"""
+SELECT true AS with_pages, count(*)::BIGINT AS staged, count(*)::BIGINT AS loaded, 1 AS version FROM ({_SHIFTS}) f WHERE ts < {_MONDAY} + 14
+UNION ALL SELECT false, 0, 0, 1""",
+    "backfill_resume": f"""
+WITH units AS (
+  SELECT DISTINCT 'R' || user_id AS restaurant_guid, w::INTEGER AS window_no, {_MONDAY} + 7 * w::INTEGER AS week_start
+  FROM events, unnest(range(2, date_diff('day', {_MONDAY}, (SELECT max(ts)::DATE FROM events)) // 7 + 1)) AS t(w)),
+rows AS (
+  SELECT 'R' || user_id AS restaurant_guid, {_WEEK.format('ts')} AS week_start,
+    CASE WHEN event_type = 'purchase' AND event_id % 3 <> 0 AND event_id % 31 = 0 THEN 0 ELSE 1 END AS loaded
+  FROM events WHERE event_type IN ('purchase', 'click') AND event_id % 11 <> 0)
+SELECT u.restaurant_guid, window_no, u.week_start, u.week_start + 6 AS week_end, count(loaded)::BIGINT AS flattened,
+  coalesce(sum(loaded), 0)::BIGINT AS loaded
+FROM units u LEFT JOIN rows r ON r.restaurant_guid = u.restaurant_guid AND r.week_start = u.week_start GROUP BY ALL""",
+    "stream_rejects": """
+SELECT 'fact_cash_entries' AS table_name, 'row' AS stage, 'R' || user_id AS restaurant_guid, 'bad business_date' AS reject_reason,
+  'E' || event_id AS guid
+FROM events WHERE event_type = 'purchase' AND event_id % 11 <> 0 AND event_id % 3 <> 0 AND event_id % 31 = 0""",
+    "ndjson_export": ORACLE["cash_entries_flatten"],
+    "scd2_apply": ORACLE["scd2_history"],
+    "sales_by_job_title_then": "WITH "
+    + _LINES
+    + """, titles AS (
+  SELECT 'S' || (c_custkey % 4) AS server, min(c_mktsegment) AS low, max(c_mktsegment) AS high FROM customer GROUP BY c_custkey % 4),
+versions(server, title, valid_from, valid_to) AS (
+  SELECT server, low, DATE '1996-01-01', CASE WHEN low <> high THEN DATE '1998-04-01' END FROM titles WHERE server = 'S1'
+  UNION ALL SELECT server, high, DATE '1998-04-01', NULL FROM titles WHERE server = 'S1' AND low <> high
+  UNION ALL SELECT server, low, DATE '1996-01-01', DATE '2000-01-01' FROM titles WHERE server = 'S2'
+  UNION ALL SELECT server, low, DATE '1998-04-01', NULL FROM titles WHERE server = 'S3')
+SELECT v.title AS job_title, count(*)::BIGINT AS items_sold, round(sum(item_price), 2) AS revenue
+FROM items i LEFT JOIN versions v ON v.server = i.server_guid AND i.business_date >= v.valid_from
+  AND (v.valid_to IS NULL OR i.business_date < v.valid_to)
+WHERE NOT is_voided AND NOT is_deleted GROUP BY 1""",
+    "sales_by_menu_group": "WITH "
+    + _LINES
+    + f""", menu AS (
+  SELECT 'P' || split_part(substr(menu_item_guid, 2), '-', 1) AS item, menu_name, menu_group_name FROM ({_MENU}) m
+  WHERE menu_item_guid LIKE '%-1')
+SELECT menu_name, menu_group_name, round(sum(item_quantity), 2) AS quantity, round(sum(item_price), 2) AS revenue
+FROM items i LEFT JOIN menu m ON m.item = i.menu_item_guid
+WHERE NOT is_voided AND NOT is_deleted GROUP BY 1, 2""",
+}

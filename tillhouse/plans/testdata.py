@@ -427,3 +427,20 @@ def employee_snapshots(customers: DataFrame) -> DataFrame:
             "snapshot_date",
         )
     )
+
+
+def server_snapshots(customers: DataFrame) -> DataFrame:
+    """Three snapshots of the servers S1 to S3: S1 is promoted, S2 leaves, S3 comes with the second."""
+    server = F.col("c_custkey") % 4
+    days = F.array(*[F.lit(day).cast("date") for day in ("1996-01-01", "1998-04-01", "2000-01-01")])
+    seen = customers.where(server > 0).select(server.alias("server"), "c_mktsegment", "c_custkey", F.explode(days).alias("snapshot_date"))
+    return (
+        seen.where(~((F.col("server") == 2) & (F.year("snapshot_date") == 2000)) & ~((F.col("server") == 3) & (F.year("snapshot_date") == 1996)))
+        .groupBy(_text("S", F.col("server")).alias("employee_guid"), "snapshot_date", "server")
+        .agg(
+            F.when((F.col("server") == 1) & (F.year("snapshot_date") >= 1998), F.max("c_mktsegment"))
+            .otherwise(F.min("c_mktsegment"))
+            .alias("job_title")
+        )
+        .select("employee_guid", "job_title", "snapshot_date")
+    )

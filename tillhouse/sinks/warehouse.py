@@ -229,5 +229,5 @@ class Warehouse:
 
 
 def write_ndjson(rows: DataFrame, path: str) -> None:
-    """One JSON object per line."""
-    rows.write.json(path)
+    """One JSON object per line; timestamps keep their microseconds."""
+    rows.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
