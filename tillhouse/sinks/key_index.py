@@ -44,9 +44,9 @@ def _places(n_words: Column) -> list[tuple[Column, Column]]:
 
 
 def with_hashes(rows: DataFrame, keys: list[str], buckets: int) -> DataFrame:
-    """The distinct keys with `hash, hash2, bucket`."""
+    """The keys, repeated ones too, with `hash, hash2, bucket`."""
     first, second = hashes(keys)
-    found = rows.select(*keys).distinct().withColumns({"hash": first, "hash2": second})
+    found = rows.select(*keys).withColumns({"hash": first, "hash2": second})
     return found.withColumn("bucket", F.pmod("hash", F.lit(buckets)).cast("int"))
 
 
@@ -99,21 +99,22 @@ class KeyIndex:
     def _open(self, paths: list[str], like: DataFrame) -> DataFrame:
         fields = ", ".join(f"`{k}` {like.schema[k].dataType.simpleString()}" for k in self.keys)
         schema = f"{fields}, hash long, hash2 long, bucket int"
-        if not paths:
-            return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", self.keys_root).parquet(*paths)
 
     def units(self, loads: list[str]) -> DataFrame:
-        if not loads:
-            return self.spark.createDataFrame([], UNITS)
         return self.spark.read.schema(UNITS).parquet(*[f"{self.units_root}/{load}" for load in loads])
 
-    def matching(self, loads: list[str], batch: DataFrame) -> DataFrame:
-        """Keys of the loads, read from the units only that may hold a key of the batch.
+    def matching(self, loads: list[str], batch: DataFrame) -> DataFrame | None:
+        """Keys of the loads, read from the units only that may hold a key of the batch; None when none may.
 
         The units found are brought to the driver: names of folders, at most buckets times loads.
         """
-        probes = with_hashes(batch, list(self.keys), self.buckets)
+        if not loads:
+            return None
+        # Only hashes are moved.
+        probes = with_hashes(batch, list(self.keys), self.buckets).select("hash", "hash2", "bucket").distinct()
         hits = probes.join(self.units(loads), "bucket").where(may_hold()).select("load", "bucket").distinct().collect()
+        if not hits:
+            return None
         paths = [f"{self.keys_root}/{r['load']}/bucket={r['bucket']}" for r in sorted(hits)]
         return self._open(paths, batch).select(*self.keys)

@@ -143,8 +143,8 @@ class Warehouse:
         self.publish(written)
         return written.rows
 
-    def known_keys(self, table: Table, batch: DataFrame, version: int | None = None) -> DataFrame:
-        """Keys of a fact that the batch may hold, from the files of the index that may have them."""
+    def known_keys(self, table: Table, batch: DataFrame, version: int | None = None) -> DataFrame | None:
+        """Keys of a fact that the batch may hold, from the files of the index that may have them; None without any."""
         return self.index(table).matching(self.manifest(version).tables.get(table.name, []), batch)
 
     # --- staging ---------------------------------------------------------------
@@ -174,16 +174,20 @@ class Warehouse:
     def prepare(self, table: Table, staged: DataFrame, dedup_batch: bool = False, hot_rows: int = 0, n_staged: int | None = None) -> tuple[Written | None, LoadResult]:
         """Writes the staged rows whose key is new, not visible yet. An empty batch writes nothing.
 
-        The new rows are staged too: what a run inserted is counted from them, not
-        searched for in the table.
+        `staged` is a staged table or a plain part of one. The new rows are staged too: what a run
+        inserted is counted from them, not searched for in the table. Where the index knows no
+        key of the batch, all of it is new and nothing is joined.
         """
         keys = list(table.key)
         n_staged = staged.count() if n_staged is None else n_staged
         if not n_staged:
             return None, LoadResult(0, 0, staged)
         batch = one_per_key(staged, keys) if dedup_batch else staged
-        new = not_in_target(batch, self.known_keys(table, batch), keys, None if dedup_batch else hot_rows)
-        inserted = self.stage(f"{table.name}_inserted", new)
+        known, inserted = self.known_keys(table, staged), batch
+        if known is not None:
+            batch = not_in_target(batch, known, keys, None if dedup_batch else hot_rows)
+        if known is not None or dedup_batch:
+            inserted = self.stage(f"{table.name}_inserted", batch)
         written = self.write(table, inserted)
         return written, LoadResult(n_staged, written.rows, inserted)
 
