@@ -226,7 +226,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         rest = rest.join(star, ["a", "b"], "left_anti")
         more = cut(_confirmed(rest, sets, percent), "more_links")
         if not more.isEmpty():
-            found = components(links.unionByName(more))
+            # What was found before goes in as stars, not as its links again.
+            found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     named = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
     named = named.select("set_hi", "set_lo", F.coalesce("component", "rep").alias("found_id"), F.lit(True).alias("named"))
     out = rows.select("doc_id", "n_shingles", "set_hi", "set_lo").join(named, ["set_hi", "set_lo"], "left")
