@@ -202,6 +202,20 @@ def test_vectors(spark):
     assert embedding_dedup.near_duplicates(rows.where("false")).count() == 0
 
 
+def test_vectors_of_several_widths(spark):
+    """A stray row silences nothing, and the rows of another width are compared with each other."""
+    rng = np.random.default_rng(2)
+    vectors = [[1.0, 0.0, 0.5], [1.0, 0.01, 0.5], [0.0, 1.0, 0.0], [1.0, 0.0, 0.5, 0.0], [1.0], [-1.0], [2.0]]
+    vectors += rng.normal(size=(5, 3)).tolist() + (rng.normal(size=(4, 4)) * 0.01 + np.array([0, 0, 1.0, 1.0])).tolist()
+    rows = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    unit = [np.array(v) / np.linalg.norm(v) for v in vectors]
+    linked = [(a, b) for a in range(len(unit)) for b in range(a + 1, len(unit)) if len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.95]
+    assert {(0, 1), (4, 6), (12, 13)} <= set(linked)
+    wanted = brute.roots(range(len(vectors)), linked)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(rows).collect()}
+    assert found == {i: (sum(i in pair for pair in linked), c) for i, c in wanted.items()}
+
+
 # --- pieces --------------------------------------------------------------------------------------
 
 

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,15 +29,15 @@ from tillhouse.llm.components import components
 GRID_AXES, BLOCK, STRIDE = 2, 4096, 16
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Lists as rows of doubles; a row that is null, of another width, holds a null or
-    is not finite becomes zeros."""
-    out = np.zeros((len(column), width))
-    for i, row in enumerate(column.to_pylist()):
-        if row is not None and len(row) == width and all(x is not None for x in row):
-            out[i] = row
-    out[~np.isfinite(out).all(axis=1)] = 0.0
-    return out
+def _rows(column: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Row numbers and rows, as doubles, by width. Lists are whole and finite."""
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    found = {}
+    for width in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == width)
+        flat = column.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False)
+        found[width] = at, flat.reshape(-1, width)
+    return found
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -50,14 +51,16 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 def principal_axes(vectors: DataFrame, width: int) -> np.ndarray:
     """Columns: the axes of all unit vectors by falling spread.
 
-    Each task sums up products; one matrix of width x width comes to the driver.
+    Each task sums up products; one matrix of width x width comes to the driver. Sums are rounded, so
+    that the order in which they were added does not show in the axes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, width))
         for batch in batches:
-            rows = _unit(_matrix(batch.column(0), width))
-            total += rows.T @ rows
+            for _, rows in _rows(batch.column(0)).values():
+                rows = _unit(rows)
+                total += rows.T @ rows
         cells = [pa.array(np.repeat(np.arange(width), width)), pa.array(np.tile(np.arange(width), width)), pa.array(total.ravel())]
         yield pa.RecordBatch.from_arrays(cells, names=["i", "j", "x"])
 
@@ -65,8 +68,8 @@ def principal_axes(vectors: DataFrame, width: int) -> np.ndarray:
     gram = np.zeros((width, width))
     for row in sums.collect():
         gram[row.i, row.j] = row.x
-    values, axes = np.linalg.eigh((gram + gram.T) / 2)
-    return axes[:, ::-1]
+    gram = np.round((gram + gram.T) / (2 * max(np.trace(gram), 1.0)), 8)
+    return np.linalg.eigh(gram)[1][:, ::-1]
 
 
 def _tails(rows: np.ndarray) -> np.ndarray:
@@ -114,22 +117,24 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """`vec_id, n_links, component_id, kept` per row.
 
-    Vectors with cosine >= `threshold`, in double precision, are linked. Vectors that are
-    null, zero, of another width than the table's longest, or hold null or non-finite
-    values link with nothing, as do rows with a null id. Equal vectors are compared once and
+    Vectors of one width with cosine >= `threshold`, in double precision, are linked; those of
+    different widths have none. The axes are those of the most frequent width (of equally many: the
+    larger); vectors of other widths are compared as they are. Vectors that are null, zero, or hold null
+    or non-finite values link with nothing, as do rows with a null id. Equal vectors are compared once and
     counted as often as they occur. Other columns are not read.
     """
     spark = vectors.sparkSession
     ship(spark)
     own = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
-    width = own.agg(F.max(F.size("embedding"))).first()[0] or 0
-    sound = (F.size("embedding") == width) & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == math.inf)) & F.exists("embedding", lambda x: x != 0)
+    sound = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == math.inf)) & F.exists("embedding", lambda x: x != 0)
     usable = own.where(F.col("vec_id").isNotNull() & F.coalesce(sound, F.lit(False)))
     # Equal vectors: one of them is compared, with their number as its weight.
     classes = cut(usable.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight")), "vector_classes")
-    axes = principal_axes(classes, width) if width > 0 else np.zeros((0, 0))
+    widths = classes.groupBy(F.size("embedding").alias("width")).agg(F.count(F.lit(1)).alias("n"))
+    width = widths.agg(F.max(F.struct("n", "width"))["width"]).first()[0] or 0
+    axes = principal_axes(classes.where(F.size("embedding") == F.lit(width)), width)
     tiles = _tiles(classes, axes, threshold)
-    cut_tiles = cut(_compare(tiles, width, threshold), "vector_links")
+    cut_tiles = cut(_compare(tiles, threshold), "vector_links")
     others = cut_tiles.where("weight > 0").groupBy("rep").agg(F.sum("weight").alias("others"))
     forest = cut_tiles.where("root is not null").select(F.col("rep").alias("a"), F.col("root").alias("b")).distinct()
     found = components(forest).select(F.col("node").alias("rep"), "component")
@@ -148,29 +153,33 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
 def _tiles(classes: DataFrame, axes: np.ndarray, threshold: float) -> DataFrame:
     """`tile, side, rep, weight, x`: every block of a cell against those of the cell itself
     and of its later neighbours. Side 0 and 1 are compared; 2 is both."""
-    width = len(axes)
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
-    dims = min(GRID_AXES, width)
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _unit(_matrix(batch.column(0), width)) @ axes
-            cells = np.floor(x[:, :dims] / reach).astype(np.int64)
-            lists = [pa.FixedSizeListArray.from_arrays(pa.array(m.ravel()), m.shape[1]).cast(pa.list_(t)) for m, t in ((x, pa.float64()), (cells, pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), *lists], names=["rep", "weight", "x", "cell"])
+            for width, (at, rows) in _rows(batch.column(0)).items():
+                x = _unit(rows)
+                if width == len(axes):
+                    x = x @ axes
+                # A cell's name begins with its width; one axis too few stands as zeros.
+                cells = np.zeros((len(x), GRID_AXES + 1), np.int64)
+                cells[:, 0] = width
+                dims = min(GRID_AXES, width)
+                cells[:, 1 : dims + 1] = np.floor(x[:, :dims] / reach)
+                lists = [pa.FixedSizeListArray.from_arrays(pa.array(m.ravel()), m.shape[1]).cast(pa.list_(t)) for m, t in ((x, pa.float64()), (cells, pa.int64()))]
+                place = pa.array(at)
+                yield pa.RecordBatch.from_arrays([batch.column(1).take(place), batch.column(2).take(place), *lists], names=["rep", "weight", "x", "cell"])
 
-    if not width:
-        return classes.select(F.lit("").alias("tile"), F.lit(0).alias("side"), "rep", "weight", "embedding").withColumnRenamed("embedding", "x").where("false")
     placed = cut(classes.select("embedding", "rep", "weight").mapInArrow(turn, "rep long, weight long, x array<double>, cell array<long>"), "turned")
     # Blocks: as many per cell as its size asks for, members spread over them by hash.
     sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     block = F.pmod(F.xxhash64("rep"), F.col("blocks"))
     placed = placed.join(sizes, "cell").withColumn("block", block)
     # Neighbours that are there: each cell names the later ones among the 3^d around it.
-    steps = [[]]
-    for _ in range(dims):
+    steps = [[0]]
+    for _ in range(GRID_AXES):
         steps = [[*s, d] for s in steps for d in (-1, 0, 1)]
-    later = [s for s in steps if s > [0] * dims]
+    later = [s for s in steps if s > [0] * (GRID_AXES + 1)]
     offsets = F.array(*[F.array(*[F.lit(int(d)) for d in s]) for s in later])
     near = sizes.select(F.col("cell").alias("c0"), F.col("blocks").alias("b0"), F.explode(F.transform(offsets, lambda o: F.zip_with("cell", o, lambda c, d: c + d))).alias("c1"))
     near = near.join(sizes.select(F.col("cell").alias("c1"), F.col("blocks").alias("b1")), "c1").select("c0", "b0", "c1", "b1")
@@ -188,14 +197,14 @@ def _tiles(classes: DataFrame, axes: np.ndarray, threshold: float) -> DataFrame:
     return members.join(sides, "at").select("tile", "side", "rep", "weight", "x")
 
 
-def _compare(tiles: DataFrame, width: int, threshold: float) -> DataFrame:
+def _compare(tiles: DataFrame, threshold: float) -> DataFrame:
     """`rep, weight, root`: what each vector of a tile is linked with there, in number, and
-    the root it hangs on. A tile has at most some BLOCKs of vectors."""
+    the root it hangs on. A tile has at most some BLOCKs of vectors, all of one width."""
 
     def run(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
         ids, weight = table.column("rep").to_numpy(), table.column("weight").to_numpy()
-        x = table.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+        x = table.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
         one, two = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         counts = np.zeros(len(ids), np.int64)
         tree: tuple[list, list] = ([], [])
