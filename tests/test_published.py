@@ -127,6 +127,19 @@ def test_only_files_that_may_hold_a_key_are_read(spark, tmp_path):
     assert result.rows_inserted == 1 and keys_of(result.inserted) == [90_001]
 
 
+def test_compaction(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path), "d", buckets=2)
+    assert store.compact(FACT_CASH_ENTRIES) == 0
+    for part in range(3):
+        store.append(FACT_CASH_ENTRIES, facts(spark, [part * 10 + i for i in range(10)], DAYS[part]))
+    files = len(store.read(FACT_CASH_ENTRIES).inputFiles())
+    assert store.compact(FACT_CASH_ENTRIES) == 30 and len(store.manifest().tables[FACT_CASH_ENTRIES.name]) == 1
+    assert keys_of(store.read(FACT_CASH_ENTRIES)) == list(range(30)) == keys_of(store.read(FACT_CASH_ENTRIES, 3))
+    assert len(store.read(FACT_CASH_ENTRIES).inputFiles()) <= files
+    batch = store.stage("b", facts(spark, [5, 25, 31]))
+    assert keys_of(store.insert_new(FACT_CASH_ENTRIES, batch).inserted) == [31]
+
+
 def test_filter_holds_every_key_and_few_others(spark, tmp_path):
     store = Warehouse(spark, str(tmp_path), "d", buckets=3)
     store.append(FACT_CASH_ENTRIES, facts(spark, spark.range(20_000).withColumnRenamed("id", "k")))

@@ -26,7 +26,7 @@ NAMES = sorted(QUERIES)
 LANDED = {
     "dimension_refresh", "dimension_refresh_all", "order_load", "backfill_by_window", "load_by_restaurant", "stream_cash_entries",
     "insert_by_index", "cash_load", "labor_load", "load_after_failure", "two_tenants_load", "backfill_resume", "empty_load",
-    "stream_rejects", "ndjson_export", "scd2_apply",
+    "load_stamp", "stream_rejects", "ndjson_export", "scd2_apply",
 }
 
 

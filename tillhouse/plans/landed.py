@@ -14,7 +14,7 @@ from tillhouse.operators import flatten
 from tillhouse.operators.enforce import accepted
 from tillhouse.operators.history import history_of
 from tillhouse.operators.menus import menu_items
-from tillhouse.operators.scope import in_restaurants
+from tillhouse.operators.scope import date_range, in_query_days, in_restaurants
 from tillhouse.plans import jobs, marts, testdata
 from tillhouse.plans.catalogue import _batch_and_target, _event_fact, _order_items, _plain, query
 from tillhouse.schemas import (
@@ -307,6 +307,26 @@ def empty_load(spark, sf_dir):
     return spark.createDataFrame(rows, "with_pages boolean, staged bigint, loaded bigint, version int")
 
 
+@query("load_stamp")
+def load_stamp(spark, sf_dir):
+    """Shifts of two loads with the stamps that their runs were given; a row keeps the stamp of the run that brought it."""
+    context, (first, second, last) = _landed_events(spark, sf_dir), _weeks(spark, sf_dir)
+    for day, end in ((1, second), (2, last)):
+        jobs.run_labor(replace(context, loaded_at=dt.datetime(2026, 1, day, tzinfo=dt.timezone.utc)), start=first, end=end)
+    shifts = context.store.read(FACT_LABOR_SHIFTS)
+    return shifts.select("time_entry_guid", F.col("_loaded_at").cast("timestamp_ntz").alias("loaded_at"))
+
+
+@query("default_date_scope")
+def default_date_scope(spark, sf_dir):
+    """Order pages of a run without dates, on the day after the last order: those of yesterday."""
+    orders = testdata.table(spark, sf_dir, "orders")
+    today = orders.agg(F.date_add(F.max("o_orderdate").cast("date"), 1)).first()[0]
+    start, end = date_range(today=today)
+    pages = in_query_days(testdata.header_orders(orders), start, end)
+    return documents(parse_pages(pages, "guid string")).select("restaurant_guid", "query_date", "doc.guid")
+
+
 @query("stream_rejects")
 def stream_rejects(spark, sf_dir):
     """What a stream set aside, after a replay from a fresh checkpoint."""

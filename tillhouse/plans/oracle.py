@@ -381,6 +381,11 @@ rows AS (
 SELECT u.restaurant_guid, window_no, u.week_start, u.week_start + 6 AS week_end, count(loaded)::BIGINT AS flattened,
   coalesce(sum(loaded), 0)::BIGINT AS loaded
 FROM units u LEFT JOIN rows r ON r.restaurant_guid = u.restaurant_guid AND r.week_start = u.week_start GROUP BY ALL""",
+    "load_stamp": f"""
+SELECT time_entry_guid, CASE WHEN ts < {_MONDAY} + 14 THEN TIMESTAMP '2026-01-01' ELSE TIMESTAMP '2026-01-02' END AS loaded_at FROM ({_SHIFTS}) f""",
+    "default_date_scope": """
+SELECT 'R' || o_custkey AS restaurant_guid, o_orderdate::DATE AS query_date, CASE WHEN o_orderkey % 41 <> 0 THEN o_orderkey::VARCHAR END AS guid
+FROM orders WHERE o_orderdate::DATE = (SELECT max(o_orderdate)::DATE FROM orders)""",
     "stream_rejects": """
 SELECT 'fact_cash_entries' AS table_name, 'row' AS stage, 'R' || user_id AS restaurant_guid, 'bad business_date' AS reject_reason,
   'E' || event_id AS guid

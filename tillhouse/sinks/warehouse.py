@@ -147,6 +147,17 @@ class Warehouse:
         """Keys of a fact that the batch may hold, from the files of the index that may have them; None without any."""
         return self.index(table).matching(self.manifest(version).tables.get(table.name, []), batch)
 
+    def compact(self, table: Table) -> int:
+        """Puts one load in the place of all loads of a fact, keys included, and returns its rows.
+
+        Many small loads become few files per day and one unit per bucket; older versions keep theirs.
+        """
+        if len(self.manifest().tables.get(table.name, [])) < 2:
+            return 0
+        written = self.write(table, self.read(table))
+        self.publish(replaced=[written])
+        return written.rows
+
     # --- staging ---------------------------------------------------------------
 
     def stage(self, name: str, rows: DataFrame) -> DataFrame:
