@@ -9,8 +9,9 @@ entries propose pairs, and full sets confirm them.
 Documents with the same set are one class and only its smallest member is banded. Within a
 bucket every class is compared with a few centers first; what that leaves in more
 than one component is compared in full, the links found so far saving the rest. So a
-large group of copies costs rows in proportion to its size, and no link is lost that the
-bands propose.
+large group of copies costs rows in proportion to its size. Of the pairs that the bands propose, those
+compared in full pass exact bounds and a test of sketches first; the sketches turn a pair at the threshold
+away with a probability of 1e-6.
 """
 
 from __future__ import annotations
