@@ -33,11 +33,24 @@ def test_hosts(spark):
     assert got[0] == got[1] == got[2] == ("", "", None, "allow") and got[4] == ("a.net", "", None, "allow")
     assert got[5] == ("a.net", "/x", "net/", "block") and got[6] == ("x.example.net", "/en/1", "example.net/en/", "allow")
     assert got[7] == ("example.com", "/de/", "example.com/de/", "block") and got[8][2] == "org/fr/" and got[11][2] is None
-    assert got[9][3] == "block" and got[10][3] == "allow"
+    # A host without labelled pages has the reputation of its domain; an unknown suffix that of all.
+    assert got[9][3] == "block" and got[10][3] == "block" and got[11][3] == "allow"
     assert {r.verdict for r in host_reputation.judge(pages.where("page_id in (9, 10)"), outcomes.where("false")).collect()} == {"allow"}
     assert host_reputation.judge(pages.where("false"), outcomes).count() == 0
 
 
+def test_hosts_without_labels(spark):
+    """The prior of the domain, else of the suffix, else of all."""
+    rows = [("a.bad.org", True)] * 60 + [("b.bad.org", True)] * 40 + [("x.worse.org", True)] * 30 + [("fine.com", False)] * 300
+    outcomes = spark.createDataFrame(rows, "host string, bad boolean")
+    hosts = spark.createDataFrame([(h,) for h in ("new.bad.org", "other.org", "other.com", "some.where", "", "a.bad.org")], "host string")
+    got = {r.host: r for r in host_reputation.reputations(outcomes, hosts=hosts).collect()}
+    assert set(got) == {"a.bad.org", "b.bad.org", "x.worse.org", "fine.com", "new.bad.org", "other.org", "other.com", "some.where"}
+    assert got["new.bad.org"].bound > 0.5 and got["other.org"].bound > 0.5 > got["other.com"].bound
+    assert got["some.where"].bound < got["other.org"].bound and got["new.bad.org"].n == 0 and got["a.bad.org"].n == 60
+    assert host_reputation.reputations(outcomes.where("false"), hosts=hosts).count() == 0
+
+
 def test_few_pages_are_shrunk(spark):
     rows = [("a.x.com", True)] * 2 + [("b.x.com", False)] * 50 + [("c.y.org", True)] * 60
     bounds = {r.host: r for r in host_reputation.reputations(spark.createDataFrame(rows, "host string, bad boolean")).collect()}

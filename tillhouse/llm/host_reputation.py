@@ -77,17 +77,18 @@ def _strength(children: DataFrame, parent: list[str]) -> DataFrame:
     return sums.select(*parent, "n", "bad", strength.alias("strength"))
 
 
-def reputations(outcomes: DataFrame, z: float = 1.645, min_rate: float = 0.5, prior: float = 1.0) -> DataFrame:
+def reputations(outcomes: DataFrame, z: float = 1.645, min_rate: float = 0.5, prior: float = 1.0, hosts: DataFrame | None = None) -> DataFrame:
     """`host, n, bad, posterior, bound` from rows of `host, bad` (boolean, null not counted).
 
-    `bound` is the lower normal bound of the beta posterior at `z` deviations. Hosts
-    without labelled pages are absent: see `judge`. `prior` pages at `min_rate` stand
-    above the suffixes, so no labelled page at all gives no certainty.
+    `bound` is the lower normal bound of the beta posterior at `z` deviations. `hosts` (a
+    column `host`) are told too: without labelled pages they have the prior of their domain, else of their
+    suffix, else of all. `prior` pages at `min_rate` stand above the suffixes, so few labelled pages
+    give no certainty; without any, no host has a reputation. An empty host has none.
     """
     counted = outcomes.where(F.col("bad").isNotNull() & F.col("host").isNotNull())
-    hosts = counted.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
-    hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
-    domains = _strength(hosts, ["suffix", "domain"])
+    own = counted.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
+    placed = own.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+    domains = _strength(placed, ["suffix", "domain"])
     suffixes = _strength(domains.select("suffix", "n", "bad"), ["suffix"])
     root = _strength(suffixes.select(F.lit(1).alias("all"), "n", "bad"), ["all"])
     top = root.select(((F.col("bad") + prior * min_rate) / (F.col("n") + prior)).alias("m0"), F.col("strength").alias("s0"))
@@ -98,22 +99,30 @@ def reputations(outcomes: DataFrame, z: float = 1.645, min_rate: float = 0.5, pr
     by_domain = domains.join(by_suffix, "suffix").select(
         "domain", F.col("strength").alias("s2"), ((F.col("bad") + F.col("s1") * F.col("m1")) / (F.col("n") + F.col("s1"))).alias("m2")
     )
-    a, b = F.col("bad") + F.col("s2") * F.col("m2"), F.col("n") - F.col("bad") + F.col("s2") * (1 - F.col("m2"))
+    told = own
+    if hosts is not None:
+        none = hosts.where(F.col("host") != "").select("host").distinct().select("host", F.lit(0).alias("n"), F.lit(0).alias("bad"))
+        told = own.unionByName(none).groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    told = told.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+    told = told.join(by_domain, "domain", "left").join(by_suffix, "suffix", "left").join(F.broadcast(top))
+    strength, rate = F.coalesce("s2", "s1", "s0"), F.coalesce("m2", "m1", "m0")
+    a, b = F.col("bad") + strength * rate, F.col("n") - F.col("bad") + strength * (1 - rate)
     mean, size = a / (a + b), a + b
     bound = mean - z * F.sqrt(mean * (1 - mean) / (size + 1))
-    return hosts.join(by_domain, "domain").select("host", "n", "bad", mean.alias("posterior"), bound.alias("bound"))
+    return told.select("host", "n", "bad", mean.alias("posterior"), bound.alias("bound"))
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = 1.645, min_rate: float = 0.5, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """`page_id, host, path, rule, verdict, bound` per page.
 
     The longest rule that fits decides, else the host's reputation: block when its
-    bound is over `min_rate`, allow otherwise and for hosts without labelled pages. A
+    bound is over `min_rate`, allow otherwise. Hosts without labelled pages have the reputation of
+    their domain, suffix or of all; an empty host, or any host where no page is labelled, is allowed. A
     null url, or one without `://`, has an empty host and path. Repeated rows stay;
     other columns are not read; empty tables give an empty result or no reputations.
     """
     own = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     found = own.withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
-    known = reputations(outcomes, z, min_rate).select("host", "bound")
+    known = reputations(outcomes, z, min_rate, hosts=own).select("host", "bound")
     verdict = F.coalesce(F.col("found.verdict"), F.when(F.col("bound") > min_rate, F.lit("block")).otherwise(F.lit("allow")))
     return found.join(known, "host", "left").select("page_id", "host", "path", F.col("found.rule").alias("rule"), verdict.alias("verdict"), "bound")

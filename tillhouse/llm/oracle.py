@@ -38,7 +38,14 @@ suffixes AS ({_strength(_sums('domains', 'suffix'), 'suffix')}),
 root AS ({_strength(_sums('(SELECT *, 1 AS one FROM suffixes)', 'one'), 'one')}),
 m1 AS (SELECT suffix, x.s AS s1, (x.bad + root.s * (root.bad + 0.5) / (root.n + 1)) / (x.n + root.s) AS m1 FROM suffixes x, root),
 m2 AS (SELECT domain, d.s AS s2, (d.bad + s1 * m1) / (d.n + s1) AS m2 FROM domains d JOIN m1 USING (suffix)),
-ab AS (SELECT host, bad + s2 * m2 AS a, n - bad + s2 * (1 - m2) AS b FROM hosts JOIN m2 USING (domain)),
+told AS (SELECT DISTINCT host, string_split(host, '.')[-1] AS suffix, array_to_string(string_split(host, '.')[-2:], '.') AS domain
+  FROM h WHERE host <> ''),
+priors AS (
+  SELECT told.host, coalesce(s2, s1, root.s) AS s, coalesce(m2, m1, (root.bad + 0.5) / (root.n + 1)) AS m
+  FROM told LEFT JOIN m2 ON m2.domain = told.domain LEFT JOIN m1 ON m1.suffix = told.suffix, root),
+ab AS (
+  SELECT p.host, coalesce(x.bad, 0) + s * m AS a, coalesce(x.n - x.bad, 0) + s * (1 - m) AS b
+  FROM priors p LEFT JOIN hosts x ON x.host = p.host),
 bounds AS (SELECT host, a / (a + b) - 1.645 * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)) AS bound FROM ab),
 rules(verdict, rule, name, start) AS (VALUES ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
   ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')),
