@@ -15,28 +15,39 @@ from tillhouse.llm.common import cut, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the limits or the robust distance reject."""
-    stats = cut(outliers.text_stats(docs).select("lang", "source", *outliers.STATS), "stage_stats")
-    judged = outliers.judge(outliers.text_stats(docs), outliers.fit(stats))
+    """Without the documents that the limits or the robust distance reject.
+
+    Null and empty texts have no words and are rejected. Rows that repeat, or have a null
+    id, language or source, are judged like any other. All columns stay as they are.
+    """
+    # The document goes along in one column, so that none of its columns is overwritten.
+    rows = outliers.text_stats(docs.select("text", "lang", "source", F.struct(*docs.columns).alias("_doc")))
+    model = outliers.fit(cut(rows.select("lang", "source", *outliers.STATS), "stage_stats"))
     # Not a filter: that would be pushed below the statistics and work them out again for
     # each mention.
     once = F.when(F.col("kept"), F.array(F.lit(True)))
-    return judged.select(*docs.columns, F.explode(once).alias("_kept")).drop("_kept")
+    return outliers.judge(rows, model).select("_doc", F.explode(once)).select("_doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five words, similarity 0.8."""
+    """One document of each group of near duplicates: five words, similarity 0.8.
+
+    Texts without words and rows with a null id stay; rows that repeat an id stay or go together.
+    """
     gone = cut(minmax_dedup.near_duplicates(docs).where(~F.col("kept")).select("doc_id"), "stage_gone")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of personal data replaced by their kind; `n_chars` follows the text."""
-    found = pii.candidates(pii.base_spans(docs))
-    model = pii.fit(cut(found.select("found"), "stage_candidates"))
-    spans = pii.select_spans(found, model)
-    clean = spans.withColumn("text", pii.redact(F.col("text"), F.col("spans")))
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Spans of personal data replaced by their kind; `n_chars` follows the text.
+
+    Every row stays; a null text stays null. Other columns stay as they are.
+    """
+    found = pii.candidates(pii.base_spans(docs.select("text", F.struct(*docs.columns).alias("_doc"))))
+    model = pii.fit(cut(found.select("found", "half"), "stage_candidates"))
+    clean = pii.select_spans(found, model).select("_doc", pii.redact(F.col("text"), F.col("spans")).alias("_clean"))
+    new = {"text": F.col("_clean"), "n_chars": F.length("_clean").cast("long")}
+    return clean.select(*[new.get(c, F.col("_doc")[c]).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
