@@ -2,13 +2,15 @@
 
 import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
-from tillhouse.llm import language_id, lm_scoring, minmax_dedup, rolling, substring_dedup
+from tillhouse.llm import language_id, lm_scoring, minmax_dedup, queries, rolling, substring_dedup
 
 SF = "/root/testdata/sf0.001"
 
@@ -97,6 +99,33 @@ def test_languages(spark, docs, edges, nothing):
     assert {r.lang_pred for r in language_id.identify(edges, []).collect()} == {"und"}
 
 
+def test_many_letters_and_equal_openings(spark):
+    """Languages that share their openings and differ in letters far beyond the most frequent."""
+    rng = random.Random(3)
+    common = [chr(0x4E00 + i) for i in range(150)]
+    own = {"p": [chr(0x5200 + i) for i in range(200)], "q": [chr(0x5600 + i) for i in range(200)]}
+    opening = "licensed under the terms that everyone knows " * 10
+
+    def text(lang):
+        return opening + "".join(rng.choice(common) if rng.random() < 0.9 else rng.choice(own[lang]) for _ in range(2000))
+
+    rows = [(i, text("pq"[i % 2]), "pq"[i % 2]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = language_id.learn(docs.where(~language_id.held_out(docs.doc_id)))
+    assert any(c in sample for _, sample in samples for c in common)
+    assert len(set().union(*(set(sample) for _, sample in samples))) > 300
+    found = language_id.identify(docs, samples).where(language_id.held_out(F.col("doc_id"))).collect()
+    assert found and all(r.lang == r.lang_pred for r in found)
+
+
+def test_registered_languages(spark, docs):
+    found = {r.doc_id: r for r in queries.op3_cross_parsing(spark, SF).collect()}
+    known = docs.select("doc_id", "lang").collect()
+    held = [r for r in known if found[r.doc_id].held_out]
+    assert len(found) == len(known) and all(found[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in known)
+    assert sum(found[r.doc_id].lang_pred == r.lang for r in held) >= 0.97 * len(held)
+
+
 # --- repeated substrings ---------------------------------------------------------------
 
 

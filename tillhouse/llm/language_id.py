@@ -6,7 +6,10 @@ begins behind it. Text of the same language has longer matches, so fewer phrases
 n phrases against N characters of a language, n * log2(N) estimates the bits it takes.
 The language that needs the fewest wins.
 
-Only letters count: a run of anything else is one mark between words. Automata become tables, and many segments of text walk through them side by side.
+Only letters count: a run of anything else is one mark between words. Letters that the samples
+have most are one symbol each, every other letter is its code point in DIGITS symbols, so
+that all letters are told apart by tables of bounded width. Automata become tables, and many segments of text walk
+through them side by side.
 """
 
 from __future__ import annotations
@@ -26,21 +29,26 @@ from tillhouse.llm.common import ship
 #: Labelled documents per language that are learned from, and characters of each: the
 #: bound of the sample, and so of the automata.
 DOCS, CHARS = 120, 300
-#: Characters told apart, the most frequent of the sample; all others are one class.
+#: Letters with a symbol of their own, the most frequent of the samples; the others are
+#: written with DIGITS symbols of base BASE.
 ALPHABET = 96
+BASE, DIGITS = 32, 4
 #: A text is parsed in segments of so many characters, so many segments at a time.
 SEGMENT, LANES = 256, 4096
 LETTER = regex.compile(r"\p{L}")
 
 
 def learn(labelled: DataFrame, docs: int = DOCS, chars: int = CHARS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
-    """(language, sample) of each language: the first `chars` characters of `docs` documents
-    chosen by a hash of their id. Rows with a null id, language or text are not learned."""
+    """(language, sample) of each language: `chars` characters each, from a hashed place of the
+    whole text, of `docs` documents chosen by a hash of their id. Rows with a null id,
+    language or text are not learned."""
     usable = labelled.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     ids = usable.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).withColumn("n", F.row_number().over(order))
     chosen = [r.id for r in ids.where(F.col("n") <= docs).collect()]
-    rows = usable.where(F.col(id_col).isin(chosen)).select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.substring(text_col, 1, chars).alias("text"))
+    places = F.greatest(F.length(text_col) - chars, F.lit(0)) + 1
+    window = F.substring(F.col(text_col), (F.pmod(F.xxhash64(F.col(id_col), F.lit("place")), places) + 1).cast("int"), F.lit(chars))
+    rows = usable.where(F.col(id_col).isin(chosen)).select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), window.alias("text"))
     parts: dict[str, list] = {}
     for r in rows.collect():
         parts.setdefault(r.lang, []).append((str(r.id), r.text))
@@ -84,13 +92,14 @@ class Parser:
         self.langs = [lang for lang, _ in samples]
         counts = Counter(c for _, text in samples for c in text.lower() if c.isalpha())
         known = sorted(c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET])
-        # Classes: 0 what is no letter, 1 other letters, then the known; the last pads.
+        # Classes: 0 what is no letter, 1 other letters, then the known, digits; the last pads.
         self.classes = np.fromiter((chr(c).isalpha() for c in range(0x110000)), np.uint8, 0x110000)
         for i, c in enumerate(known, 2):
             for form in {c, c.upper(), c.title()}:
                 if len(form) == 1:
                     self.classes[ord(form)] = i
-        self.width = len(known) + 3
+        self.digits = len(known) + 2
+        self.width = self.digits + BASE + 1
         self.tables, self.bits = [], []
         for _, text in samples:
             symbols = self.symbols(text)
@@ -98,11 +107,21 @@ class Parser:
             self.bits.append(np.log2(max(2, len(symbols))))
 
     def symbols(self, text: str) -> np.ndarray:
-        """Classes of a text's characters, a run without letters as one."""
-        own = self.classes[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        """Symbols of a text's characters, a run without letters as one."""
+        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        own = self.classes[points]
         keep = own > 0
         keep[1:] |= own[:-1] > 0
-        return own[keep]
+        own, points = own[keep], points[keep]
+        other = own == 1
+        if not other.any():
+            return own
+        sizes = np.where(other, DIGITS, 1)
+        out = np.repeat(own, sizes)
+        starts = (np.cumsum(sizes) - sizes)[other]
+        for i in range(DIGITS):
+            out[starts + i] = self.digits + points[other] // BASE ** (DIGITS - 1 - i) % BASE
+        return out
 
     def _table(self, nexts: list[dict[int, int]]) -> np.ndarray:
         """Next state by state and class, times the width; where a phrase ends, the
