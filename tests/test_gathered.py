@@ -5,6 +5,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from tillhouse.plans import landed
+from tillhouse.sources import envelope
 from tillhouse.sources.landing import read_pages
 
 
@@ -49,3 +50,21 @@ def test_gathered_pages(spark, tmp_path):
     dated = read_pages(spark, str(tmp_path), "orders", gathered=True)
     assert dict(dated.dtypes)["query_date"] == "date" and dated.count() == 4
     assert read_pages(spark, str(tmp_path), "menus", gathered=True).count() == 0
+
+
+def test_pages_are_full(spark, tmp_path):
+    """Documents with far apart numbers, and those without one, are still a hundred to a page."""
+    keys = spark.range(3000).select((F.col("id") * 101).alias("c_custkey"))
+    keys.select("c_custkey", F.lit(0).alias("c_nationkey"), F.lit("n").alias("c_name"), F.lit("s").alias("c_mktsegment")).write.parquet(f"{tmp_path}/customer.parquet")
+    landed._land_employees(spark, str(tmp_path), f"{tmp_path}/landing")
+    files = list(Path(f"{tmp_path}/landing/employees").rglob("part-*"))
+    assert 30 <= len(files) <= 60
+    docs = [f.read_text().count('"email":') for f in files]
+    assert max(docs) < 2 * landed.DOCS_PER_PAGE and sum(docs) == 3000
+
+
+def test_trimmed_pages(spark):
+    """What stands around a page goes, whether or not brackets end it."""
+    texts = ["[1]", "{}", "[1", " [1]", "[1]\n", "﻿\n{} ", "", "  ", "1]", "[\n]\t", None]
+    found = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", envelope._clean(F.col("t")).alias("c"))
+    assert {r.i: r.c for r in found.collect()} == {i: None if t is None else t.strip(" \t\r\n﻿") for i, t in enumerate(texts)}
