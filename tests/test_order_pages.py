@@ -72,3 +72,19 @@ def test_pages_are_made_and_wrapped_outside_of_interpreted_expressions(spark):
     # What is parsed is a plain column: an argument of `from_json` is evaluated node by node.
     parsed = parse_pages(pages, ORDER_DOC).select(F.size("data"))._jdf.queryExecution().optimizedPlan().toString()
     assert "concat({\"data\":" not in parsed.split("AS _typed", 1)[0].rsplit("from_json(", 1)[1]
+
+
+def test_pages_of_a_landing_come_in_the_order_of_their_folders(spark):
+    """The write asks for that order; without it the texts of all pages of a task are sorted."""
+    days = [DAY + dt.timedelta(days=200 * n) for n in (3, 0, 2, 1)] + [None]
+    row = (5, 10, 7, 1, 8.0, 100.5, 0.1, 0.02, "N", "O")
+    lines = spark.createDataFrame([(*row, day) for day in days], SHAPE).coalesce(1)
+    year = F.trunc(F.col("l_shipdate").cast("date"), "year")
+    ordered, plain = testdata.line_orders(lines, year), testdata.line_orders(lines)
+    assert "query_date" in ordered._jdf.queryExecution().optimizedPlan().outputOrdering().toString()
+    folders = ordered.withColumn("task", F.spark_partition_id()).collect()
+    for task in {r.task for r in folders}:
+        of_task = [r.query_date or dt.date.min for r in folders if r.task == task]
+        assert of_task == sorted(of_task)
+    in_year = plain.withColumn("query_date", F.trunc("query_date", "year"))
+    assert sorted(map(str, ordered.collect())) == sorted(map(str, in_year.collect()))
