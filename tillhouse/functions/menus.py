@@ -13,8 +13,9 @@ def member(node: Column, path: str, kind: str = "string") -> Column:
 
 def children(node: Column, *names: str) -> Column:
     """The first of the named lists that has elements."""
-    lists = [member(node, name, "array<variant>") for name in names]
-    return F.coalesce(*[F.when(F.size(items) > 0, items) for items in lists])
+    lists = F.array(*[member(node, name, "array<variant>") for name in names])
+    # Taking a list out of a variant copies everything below it, so each is mentioned once.
+    return F.get(F.filter(lists, lambda items: F.size(items) > 0), F.lit(0))
 
 
 def list_or_text(node: Column, path: str) -> Column:
