@@ -1,9 +1,13 @@
 """Work per row that is dear is dealt to all cores, and done once per row."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse.functions.menus import children
+from tillhouse.operators.orders import normalise_orders
 from tillhouse.plans import jobs, testdata
+from tillhouse.schemas import ORDER_DOC
+from tillhouse.sources.envelope import documents, narrowed, parse_pages
 
 
 def _used(frame):
@@ -36,3 +40,34 @@ def test_a_run_looks_its_dataset_up_once(spark):
     tenants = spark.createDataFrame([("t", "d", "R1")], "tenant string, dataset string, restaurant_guid string")
     run = jobs.Context(spark, "/nowhere", "/nowhere", tenants, "t").at()
     assert run.dataset == "d" and run.store.root == "/nowhere/d"
+
+
+def test_narrowed_documents(spark):
+    """Values that are not used are not read; the same pages are unreadable."""
+    used = ["guid", "businessDate", "checks.guid", "checks.payments.tipAmount"]
+    kind = narrowed(ORDER_DOC, used)
+    check = kind["checks"].dataType.elementType
+    assert check["selections"].dataType.elementType == T.StructType(
+        [T.StructField("item", T.StructType([])), T.StructField("salesCategory", T.StructType([]))]
+    )
+    order = '{"guid":"1","businessDate":20260102,"restaurantGuid":"R","checks":[%s]}'
+    pages = [
+        order % '{"guid":"c","payments":[{"tipAmount":1.5,"type":"X"}],"selections":[{"price":"n/a","item":{"guid":"i"}}]}',
+        order % '{"guid":"d","payments":[{"tipAmount":"much"}],"totalAmount":"n/a"}',
+        order % '{"guid":"e","selections":{}}',
+        order % '{"guid":"f","selections":[{"item":"i"}]}',
+        order % '{"guid":"g","selections":[]',
+        order % '{"guid":{"odd":1},"payments":null}',
+    ]
+    rows = spark.createDataFrame([("R", f"[{page}]") for page in pages], "restaurant_guid string, value string")
+
+    def read(document):
+        parsed = parse_pages(rows, document)
+        errors = [r.page_error for r in parsed.select("page_error").collect()]
+        orders = normalise_orders(documents(parsed)).select("guid", "restaurantGuid", "businessDate", F.explode("checks").alias("c"))
+        tips = F.transform("c.payments", lambda p: p["tipAmount"])
+        return errors, [tuple(r) for r in orders.select("guid", "restaurantGuid", "businessDate", "c.guid", tips).collect()]
+
+    errors, checks = read(kind)
+    assert (errors, checks) == read(ORDER_DOC)
+    assert errors.count("unreadable page") == 3 and checks[0] == ("1", "R", "2026-01-02", "c", [1.5])
