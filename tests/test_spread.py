@@ -1,5 +1,7 @@
 """Work per row that is dear is dealt to all cores, and done once per row."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,3 +73,14 @@ def test_narrowed_documents(spark):
     errors, checks = read(kind)
     assert (errors, checks) == read(ORDER_DOC)
     assert errors.count("unreadable page") == 3 and checks[0] == ("1", "R", "2026-01-02", "c", [1.5])
+
+
+def test_lines_are_dealt_to_several_tasks_per_core(spark):
+    line = (1, 1, 1, 1, 5.0, 1.0, 0.0, 0.0, "N", "O", dt.datetime(1998, 1, 2))
+    schema = (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    )
+    lines = spark.createDataFrame([line], schema)
+    cores = spark.sparkContext.defaultParallelism
+    assert testdata.line_orders(lines).rdd.getNumPartitions() == 3 * cores
