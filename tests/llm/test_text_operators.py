@@ -65,6 +65,42 @@ def test_scoring_edges(spark, edges, nothing):
     assert lm_scoring.cross_entropy_difference(nothing, target).count() == 0
 
 
+def test_scores_tell_all_bytes_apart(spark):
+    """Digits, case, marks and letters beyond ASCII are symbols of their own, so texts that differ in them alone score apart."""
+    pairs = [("1111 1111", "2222 2222"), ("abcd abcd", "ABCD ABCD"), ("#### ####", "$$$$ $$$$"), ("\u4e00" * 5, "\u4e18" * 5)]
+    docs = spark.createDataFrame([(2 * i + j, t) for i, pair in enumerate(pairs) for j, t in enumerate(pair)], "doc_id long, text string")
+    found = {r.doc_id: r.score for r in lm_scoring.cross_entropy_difference(docs, docs.where("doc_id % 2 = 0")).collect()}
+    assert all(found[2 * i] > found[2 * i + 1] + 0.1 for i in range(len(pairs)))
+
+
+def test_scores_of_many_blocks(spark, docs, monkeypatch):
+    """Blocks of four documents, cut by tasks and files, against the model written down."""
+    monkeypatch.setattr(lm_scoring, "BLOCK_BITS", 2)
+    monkeypatch.setattr(lm_scoring, "AT_ONCE", 3)
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("aB1\u00e9 ", k=rng.randrange(12))) for _ in range(60)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    blocks = lm_scoring.in_blocks(rows, rows.where("doc_id < 20"))
+    sizes = [r["count"] for r in blocks.groupBy("block").count().collect()]
+    assert sum(sizes) == 60 and max(sizes) <= 4
+    models = Model(texts[:20]), Model(texts)
+    for r in lm_scoring.cross_entropy_difference(rows, rows.where("doc_id < 20")).collect():
+        if grams := _grams(texts[r.doc_id]):
+            t, b = (-sum(math.log2(m.p(g)) for g in grams) / len(grams) for m in models)
+            assert r.target_loss == pytest.approx(t, abs=1e-4) and r.background_loss == pytest.approx(b, abs=1e-4)
+
+
+def test_probabilities_of_all_next_symbols(spark):
+    """They sum to one after histories that were counted, by one model or both, and after one that was not."""
+    rows = spark.createDataFrame([(0, "abca"), (1, "abcb abd")], "doc_id long, text string")
+    counts = lm_scoring.fit(lm_scoring.count(lm_scoring.in_blocks(rows, rows.where("doc_id = 0"))))
+    n, histories = lm_scoring.SYMBOLS, [b"abc", b" ab", b"xyz"]
+    starts = [sum(int(c) * n ** (2 - i) for i, c in enumerate(h)) * n for h in histories]
+    asked = spark.createDataFrame([(s + k,) for s in starts for k in range(n)], "code long")
+    sums = lm_scoring.probabilities(asked, counts).groupBy(F.expr(f"code div {n}")).agg(F.sum("target").alias("t"), F.sum("background").alias("b"))
+    assert [(r.t, r.b) for r in sums.collect()] == [(pytest.approx(1), pytest.approx(1))] * 3
+
+
 # --- languages -----------------------------------------------------------------------
 
 
