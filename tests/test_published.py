@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tillhouse.operators.scope import in_restaurants
 from tillhouse.plans import jobs, marts
 from tillhouse.plans.landed import Dying
 from tillhouse.schemas import DIM_EMPLOYEES, DIM_MENU_ITEMS, FACT_CASH_ENTRIES, FACT_ORDER_ITEMS, LOAD_UNITS, REJECTS
+from tillhouse.sinks import key_index
 from tillhouse.sinks.history import HistoryTable
 from tillhouse.sinks.key_index import may_hold, with_hashes
 from tillhouse.sinks.manifest import Manifest, ManifestLog
@@ -363,6 +365,51 @@ def test_dimension_tables_have_menu_rows(spark, context):  # noqa: F811
 # --- large loads -----------------------------------------------------------------------------
 
 
+def test_large_batches_are_inserted_in_parts(spark, tmp_path, monkeypatch):
+    """A batch of more rows than are taken at once gives the same rows, counts and versions; part of its keys are known."""
+    rng = random.Random(4)
+    loaded, given = [rng.randrange(3000) for _ in range(700)], [rng.randrange(3000) for _ in range(900)] + [7] * 300
+    found = []
+    for at_once in (1 << 26, 150):
+        monkeypatch.setattr(key_index, "ROWS_AT_ONCE", at_once)
+        monkeypatch.setattr(key_index, "MANY", at_once)
+        monkeypatch.setattr(key_index, "SHOWN", 8)
+        for dedup in (False, True):
+            store = Warehouse(spark, str(tmp_path), f"d{at_once}{dedup}", buckets=8)
+            store.append(FACT_CASH_ENTRIES, facts(spark, loaded))
+            staged = store.stage("batch", facts(spark, given).withColumn("query_date", F.lit("2025-01-05").cast("date")))
+            result = store.insert_new(FACT_CASH_ENTRIES, staged, dedup_batch=dedup)
+            folders = store.manifest().tables[FACT_CASH_ENTRIES.name]
+            assert len(folders) == (2 if at_once > 1200 else 9) and store.manifest().number == 2
+            assert result.inserted.schema == staged.schema and {str(r.query_date) for r in result.inserted.collect()} == {"2025-01-05"}
+            found.append((result.rows_staged, result.rows_inserted, keys_of(result.inserted), keys_of(store.read(FACT_CASH_ENTRIES))))
+            again = store.insert_new(FACT_CASH_ENTRIES, staged, dedup_batch=dedup)
+            assert again.rows_inserted == 0 and again.inserted.count() == 0
+    new = [k for k in given if k not in set(loaded)]
+    assert found[0] == found[2] == (1200, len(new), sorted(new), sorted(loaded + new))
+    assert found[1] == found[3] == (1200, len(set(new)), sorted(set(new)), sorted(loaded + sorted(set(new))))
+
+
+def test_no_shuffle_is_left_behind(spark, tmp_path):
+    """What a write has shuffled is gone when it ends, and the setting is as before."""
+    shuffles = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    store = Warehouse(spark, str(tmp_path), "d", buckets=2)
+    store.append(FACT_CASH_ENTRIES, facts(spark, [*range(50)]))
+    batch = store.stage("batch", facts(spark, [*range(30, 90)]).distinct())
+    before = set(re.findall(r"\d+", str(shuffles.keySet().toString())))
+    assert store.stage("counted", batch.groupBy("business_date").count()).count() == 1
+    store.append(FACT_CASH_ENTRIES, batch)
+    assert set(re.findall(r"\d+", str(shuffles.keySet().toString()))) <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_key_files_hold_keys_only(spark, tmp_path):
+    """Hashes are random bytes, which took more space than the keys."""
+    store = Warehouse(spark, str(tmp_path), "d", buckets=2)
+    store.append(FACT_CASH_ENTRIES, facts(spark, [*range(50)]))
+    assert spark.read.parquet(store.index(FACT_CASH_ENTRIES).keys_root).columns == ["cash_entry_guid", "load", "bucket"]
+
+
 def test_pages_are_not_moved_to_meet_restaurants(spark, context, monkeypatch):  # noqa: F811
     """The restaurants of a run are staged and counted: few are broadcast, very many are left to Spark."""
     def joins():
